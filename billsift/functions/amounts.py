@@ -30,6 +30,11 @@ def ascii_digits(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, source, target)).otherwise(text)
 
 
+def captured_amount(text: Column) -> Column:
+    """As ``parse_amount``, for text that a label pattern has already shaped."""
+    return F.replace(ascii_digits(text), F.lit(","), F.lit("")).try_cast("double")
+
+
 def parse_amount(text: Column) -> Column:
     """A number with any comma grouping as double; NULL if it is none.
 
@@ -46,7 +51,7 @@ def two_decimals(amount: Column) -> Column:
 
 def round_money(amount: Column) -> Column:
     """Round to paise by the value a double really holds: 2.675 becomes 2.67."""
-    return two_decimals(amount).try_cast("double")
+    return F.coalesce(two_decimals(amount).try_cast("double"), amount)
 
 
 def plain_number(amount: Column) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from billsift.functions import labels
-from billsift.functions.amounts import parse_amount, round_money
-from billsift.functions.text import HIGH, LOW, MISSING, bind, first_match, head_lines, regex_hit, strip
+from billsift.functions.amounts import captured_amount, round_money
+from billsift.functions.text import HIGH, LOW, MISSING, bind, first_match, regex_hit, strip
 
 
 def invoice_id(text: Column) -> Column:
@@ -30,22 +30,16 @@ def grand_total(text: Column) -> Column:
 
 
 def vendor_name(text: Column) -> Column:
-    """First line near the top that can be a company's name.
-
-    It has three characters or more, an ASCII letter (which rules out numbers)
-    and no word that belongs to the form itself.
-    """
-    lines = F.transform(head_lines(text, labels.VENDOR_HEAD_LINES), strip)
-    stop = "|".join(labels.VENDOR_STOP_TOKENS)
-    named = F.filter(
-        lines,
-        lambda line: (F.char_length(line) >= 3) & line.rlike("[A-Za-z]") & ~F.lower(line).rlike(stop),
-    )
-    return bind(
-        F.try_element_at(named, F.lit(1)),
-        lambda name: F.struct(
-            name.alias("value"),
-            F.when(F.char_length(name) > 5, HIGH).otherwise(LOW).alias("confidence"),
+    """First line near the top that can be a company's name."""
+    return regex_hit(
+        text,
+        labels.VENDOR_LINE,
+        lambda line: bind(
+            strip(line),
+            lambda name: F.struct(
+                name.alias("value"),
+                F.when(F.char_length(name) > 5, HIGH).otherwise(LOW).alias("confidence"),
+            ),
         ),
     )
 
@@ -59,7 +53,7 @@ def _component(line: Column) -> Column:
 
     def of_kind(kind: str, pattern: str) -> Column:
         return regex_hit(
-            line, pattern, lambda m: F.struct(F.lit(kind).alias("kind"), parse_amount(m).alias("amount"))
+            line, pattern, lambda m: F.struct(F.lit(kind).alias("kind"), captured_amount(m).alias("amount"))
         )
 
     return F.coalesce(
@@ -72,12 +66,14 @@ def _component(line: Column) -> Column:
 def tax_components(text: Column) -> Column:
     """Array of ``struct(kind, amount)``, one entry per line that adds to a tax.
 
-    NULL without any pass over lines if no component can occur in the text;
-    only lines in which one can occur are matched.
+    Two passes find the lines with a component label, as its first letters and
+    the rest of the line; only those lines are matched.
     """
-    lines = F.filter(F.split(text, labels.LINE_END), lambda line: line.rlike(labels.COMPONENT_GATE))
-    counted = F.filter(F.transform(lines, _component), lambda c: c["amount"].isNotNull())
-    return F.when(text.rlike(labels.COMPONENT_GATE), counted)
+    first_letters, rest = (
+        F.regexp_extract_all(text, F.lit(labels.COMPONENT_TAIL), F.lit(group)) for group in (1, 0)
+    )
+    lines = F.zip_with(first_letters, rest, lambda letters, tail: F.concat(letters, tail))
+    return F.filter(F.transform(lines, _component), lambda c: c["amount"].isNotNull())
 
 
 def component_sum(components: Column, kind: str) -> Column:
@@ -91,7 +87,17 @@ def component_sum(components: Column, kind: str) -> Column:
 
 def generic_tax(text: Column) -> Column:
     """Amount of the first general tax label whose amount is a number."""
-    return F.coalesce(*(regex_hit(text, p, parse_amount) for p in labels.GENERIC_TAX_BANK))
+    return F.coalesce(*(regex_hit(text, p, captured_amount) for p in labels.GENERIC_TAX_BANK))
+
+
+def tax(text: Column) -> Column:
+    """``struct(components, generic)``; general labels are tried only without components."""
+    return bind(
+        tax_components(text),
+        lambda found: F.struct(
+            found.alias("components"), F.when(F.size(found) == 0, generic_tax(text)).alias("generic")
+        ),
+    )
 
 
 def tax_confidence(hits: Column, generic: Column) -> Column:

@@ -68,6 +68,7 @@ WORD = r"[\p{L}\p{N}_]"
 # inside "\r\n", which only adds an empty line; LINE_BREAK takes both as one.
 LINE_END = r"[\n\r\x0b\f\x1c-\x1e\x85  ]"
 LINE_BREAK = rf"{LINE_END}(?:(?<=\r)\n)?+"
+IN_LINE = "[^" + LINE_END[1:]
 
 _GAP = f"{BLANK}*+"
 _AMOUNT = r"([\d,]++\.?+\d*+)"
@@ -124,5 +125,29 @@ GENERIC_TAX_BANK = [
     bracketed_rate_pattern(GENERIC_GST_LABEL),
     *(amount_pattern(label) for label in GENERIC_TAX_LABELS),
 ]
-# True for every text in which a component pattern can match at all.
-COMPONENT_GATE = rf"{FLAGS}GST{_GAP}@?+{_GAP}\d"
+
+# What follows the first component label of a line, up to the line's end; group 1
+# is the letters before "GST". Every further label of the line is inside. The
+# plain word comes first, and the look-behind after it, because a regex that
+# starts with a literal is several times faster to search for.
+_LINE_GAP = rf"[{BLANK}&&{IN_LINE}]*+"
+COMPONENT_TAIL = rf"{FLAGS}GST(?<=([CSI]|[SU]T)GST){_LINE_GAP}@?+{_LINE_GAP}\d{IN_LINE}*+"
+
+
+def vendor_line_pattern(head_lines: int, stop_tokens: list[str]) -> str:
+    """Group 1 is the first of the head lines that can be a company's name.
+
+    A name has no stop token, an ASCII letter, and three characters or more
+    between its outer blanks. Lines before it are skipped without going back.
+    """
+    solid = f"[^{BLANK[1:-1]}]"
+    name = (
+        f"(?!{IN_LINE}*(?i:{'|'.join(stop_tokens)}))"
+        f"(?={IN_LINE}*?[A-Za-z])"
+        f"(?={BLANK_IN_LINE}*+{solid}{IN_LINE}+{solid})"
+    )
+    skipped = f"(?!{name}){IN_LINE}*+{LINE_BREAK}"
+    return rf"(?U)\A(?:{skipped}){{0,{head_lines - 1}}}+{name}({IN_LINE}++)"
+
+
+VENDOR_LINE = vendor_line_pattern(VENDOR_HEAD_LINES, VENDOR_STOP_TOKENS)

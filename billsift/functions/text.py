@@ -26,11 +26,6 @@ def has_text(text: Column) -> Column:
     return F.coalesce(text.rlike(f"(?U)[^{labels.BLANK[1:-1]}]"), F.lit(False))
 
 
-def head_lines(text: Column, count: int) -> Column:
-    """The first ``count`` physical lines; the rest of the text is not split."""
-    return F.slice(F.split(text, labels.LINE_BREAK, count + 1), 1, count)
-
-
 def bind(value: Column, build) -> Column:
     """``build(value)`` with ``value`` worked out once, however often it is used.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from billsift import schemas
 from billsift.functions import fields, scoring
-from billsift.functions.amounts import parse_amount
+from billsift.functions.amounts import captured_amount
 from billsift.functions.text import MISSING, confidence_of, has_text, strip
 
 TEXT_LAYER, OCR = "text_layer", "ocr"
@@ -30,70 +30,73 @@ def route_text(documents: DataFrame) -> DataFrame:
     )
 
 
-def _with_amount(frame: DataFrame, name: str) -> DataFrame:
-    """Parse ``name_hit`` into ``name`` and a confidence that needs a number."""
-    return frame.withColumn(name, parse_amount(F.col(f"{name}_hit")["value"])).withColumn(
-        f"{name}_confidence",
-        F.when(F.col(name).isNotNull(), confidence_of(F.col(f"{name}_hit"))).otherwise(MISSING),
-    )
-
-
-def with_text_field(frame: DataFrame, name: str, field) -> DataFrame:
-    """Add a text field and its confidence from the routed ``text``."""
-    hit = f"{name}_hit"
-    return (
-        frame.withColumn(hit, field(F.col("text")))
-        .withColumn(name, F.col(hit)["value"])
-        .withColumn(f"{name}_confidence", confidence_of(F.col(hit)))
-        .drop(hit)
-    )
-
+FINDERS = {
+    "invoice_id": fields.invoice_id,
+    "invoice_date": fields.invoice_date,
+    "vendor_name": fields.vendor_name,
+    "subtotal": fields.subtotal,
+    "tax": fields.tax,
+    "grand_total": fields.grand_total,
+}
 
-def with_invoice_id(frame: DataFrame) -> DataFrame:
-    return with_text_field(frame, "invoice_id", fields.invoice_id)
 
+def find_fields(routed: DataFrame, names: list[str]) -> DataFrame:
+    """Replace the text by what was found in it, ``<name>_hit`` for each field.
 
-def with_invoice_date(frame: DataFrame) -> DataFrame:
-    return with_text_field(frame, "invoice_date", fields.invoice_date)
+    All searches share one projection; what follows no longer carries the text.
+    """
+    kept = [c for c in routed.columns if c != "text"]
+    hits = (FINDERS[name](F.col("text")).alias(f"{name}_hit") for name in names)
+    return routed.select(*kept, *hits)
 
 
-def with_vendor(frame: DataFrame) -> DataFrame:
-    return with_text_field(frame, "vendor_name", fields.vendor_name)
+def _decode_text(found: DataFrame, name: str) -> DataFrame:
+    hit = F.col(f"{name}_hit")
+    return found.withColumns({name: hit["value"], f"{name}_confidence": confidence_of(hit)})
 
 
-def with_subtotal(frame: DataFrame) -> DataFrame:
-    return _with_amount(frame.withColumn("subtotal_hit", fields.subtotal(F.col("text"))), "subtotal").drop(
-        "subtotal_hit"
+def _decode_amount(found: DataFrame, name: str) -> DataFrame:
+    """A field whose text is no number counts as missing."""
+    hit = F.col(f"{name}_hit")
+    return found.withColumn(name, captured_amount(hit["value"])).withColumn(
+        f"{name}_confidence", F.when(F.col(name).isNotNull(), confidence_of(hit)).otherwise(MISSING)
     )
 
 
-def with_grand_total(frame: DataFrame) -> DataFrame:
-    return _with_amount(
-        frame.withColumn("grand_total_hit", fields.grand_total(F.col("text"))), "grand_total"
-    ).drop("grand_total_hit")
-
-
-def with_tax(frame: DataFrame) -> DataFrame:
+def _decode_tax(found: DataFrame, name: str) -> DataFrame:
     """Tax by component, or by a general label where no component is printed.
 
     A total of zero is stored as NULL while its confidence stays as found.
     """
-    found = frame.withColumn("_components", fields.tax_components(F.col("text")))
-    hits = F.coalesce(F.size("_components"), F.lit(0))
-    found = found.withColumn("_hits", hits).withColumn(
-        "generic_tax", F.when(F.col("_hits") == 0, fields.generic_tax(F.col("text")))
-    )
-    for kind in ("cgst", "sgst", "igst"):
-        found = found.withColumn(kind, fields.component_sum(F.col("_components"), kind))
-    total = fields.tax_total(*(F.col(c) for c in ("cgst", "sgst", "igst", "generic_tax")))
-    return (
-        found.withColumn("tax_total", total)
-        .withColumn("tax_amount", F.nullif(F.col("tax_total"), F.lit(0.0)))
-        .withColumn("tax_amount_confidence", fields.tax_confidence(F.col("_hits"), F.col("generic_tax")))
-        .drop("_components", "_hits")
+    components, generic = F.col(f"{name}_hit.components"), F.col("generic_tax")
+    kinds = {kind: fields.component_sum(components, kind) for kind in ("cgst", "sgst", "igst")}
+    summed = found.withColumns({**kinds, "generic_tax": F.col(f"{name}_hit.generic")})
+    return summed.withColumn("tax_total", fields.tax_total(*(F.col(k) for k in kinds), generic)).withColumns(
+        {
+            "tax_amount": F.nullif(F.col("tax_total"), F.lit(0.0)),
+            "tax_amount_confidence": fields.tax_confidence(F.size(components), generic),
+        }
     )
 
 
+DECODERS = {
+    "invoice_id": _decode_text,
+    "invoice_date": _decode_text,
+    "vendor_name": _decode_text,
+    "subtotal": _decode_amount,
+    "tax": _decode_tax,
+    "grand_total": _decode_amount,
+}
+
+
+def read_fields(routed: DataFrame, *names: str) -> DataFrame:
+    """The named fields of routed documents, with their confidences."""
+    frame = find_fields(routed, list(names))
+    for name in names:
+        frame = DECODERS[name](frame, name).drop(f"{name}_hit")
+    return frame
+
+
 def with_quality(frame: DataFrame) -> DataFrame:
     """Overall confidence and the arithmetic check."""
     overall = scoring.overall_confidence(
@@ -116,10 +119,7 @@ def read_documents(documents: DataFrame) -> DataFrame:
     This is the one expensive pass. Write its result once, then split it with
     ``records`` and ``failures``.
     """
-    frame = route_text(documents)
-    for step in (with_invoice_id, with_invoice_date, with_vendor, with_subtotal, with_tax, with_grand_total):
-        frame = step(frame)
-    return with_quality(frame).select(*schemas.RECORD_COLUMNS, "reason")
+    return with_quality(read_fields(route_text(documents), *FINDERS)).select(*schemas.RECORD_COLUMNS, "reason")
 
 
 def records(read: DataFrame) -> DataFrame:

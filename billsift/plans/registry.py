@@ -132,8 +132,8 @@ def text_routing(spark, sf_dir):
 # --- fields --------------------------------------------------------------------
 
 
-def _field_query(step, *columns: str) -> Query:
-    return lambda spark, sf_dir: step(_routed(spark, sf_dir)).select("source_file", *columns)
+def _field_query(name: str, *columns: str) -> Query:
+    return lambda spark, sf_dir: extract.read_fields(_routed(spark, sf_dir), name).select("source_file", *columns)
 
 
 def parse_amount_query(spark, sf_dir):
@@ -305,14 +305,14 @@ QUERIES: dict[str, Query] = {
     "ground_truth": ground_truth,
     "text_routing": text_routing,
     "failed_documents": failed_documents,
-    "extract_invoice_id": _field_query(extract.with_invoice_id, "invoice_id", "invoice_id_confidence"),
-    "extract_invoice_date": _field_query(extract.with_invoice_date, "invoice_date", "invoice_date_confidence"),
-    "extract_vendor": _field_query(extract.with_vendor, "vendor_name", "vendor_name_confidence"),
-    "extract_subtotal": _field_query(extract.with_subtotal, "subtotal", "subtotal_confidence"),
-    "extract_grand_total": _field_query(extract.with_grand_total, "grand_total", "grand_total_confidence"),
-    "extract_tax_components": _field_query(extract.with_tax, "cgst", "sgst", "igst"),
-    "extract_tax_generic": _field_query(extract.with_tax, "generic_tax"),
-    "extract_tax_total": _field_query(extract.with_tax, "tax_total", "tax_amount", "tax_amount_confidence"),
+    "extract_invoice_id": _field_query("invoice_id", "invoice_id", "invoice_id_confidence"),
+    "extract_invoice_date": _field_query("invoice_date", "invoice_date", "invoice_date_confidence"),
+    "extract_vendor": _field_query("vendor_name", "vendor_name", "vendor_name_confidence"),
+    "extract_subtotal": _field_query("subtotal", "subtotal", "subtotal_confidence"),
+    "extract_grand_total": _field_query("grand_total", "grand_total", "grand_total_confidence"),
+    "extract_tax_components": _field_query("tax", "cgst", "sgst", "igst"),
+    "extract_tax_generic": _field_query("tax", "generic_tax"),
+    "extract_tax_total": _field_query("tax", "tax_total", "tax_amount", "tax_amount_confidence"),
     "parse_amount": parse_amount_query,
     "parse_invoice_date": parse_invoice_date_query,
     "format_currency": format_currency_query,
