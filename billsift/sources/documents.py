@@ -18,7 +18,7 @@ def read_document_table(spark: SparkSession, path: str) -> DataFrame:
 def _text_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per text file, or none if the folder is missing or has none."""
     try:
-        files = spark.read.option("pathGlobFilter", "*.txt").option("wholetext", True).text(folder)
+        files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -32,13 +32,17 @@ def read_text_folder(spark: SparkSession, folder: str, ocr_folder: str | None =
     A file of the same name in ``ocr_folder`` is the recognised text. A missing
     or empty folder gives no documents, not an error. The order of files
     matters only to the load, which sorts by ``source_file`` itself.
+
+    Spark does not list files of zero bytes. Such a document still appears if
+    it has recognised text; a converter that wants blank documents counted
+    should end every file with a line feed.
     """
     documents = _text_files(spark, folder)
     if ocr_folder is None:
         with_ocr = documents.withColumn("ocr_text", F.lit(None).cast("string"))
     else:
         recognised = _text_files(spark, ocr_folder).withColumnRenamed("text", "ocr_text")
-        with_ocr = documents.join(recognised, "name", "left")
+        with_ocr = documents.join(recognised, "name", "full")
     return with_ocr.select(
         F.xxhash64("name").alias("doc_id"), F.col("name").alias("source_file"), "text", "ocr_text"
     )
