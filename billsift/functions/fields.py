@@ -1,6 +1,8 @@
 """One column expression per invoice field.
 
-All of them are narrow: they read one text and need no other row.
+All of them are narrow: they read one text and need no other row. ``folded`` is
+``fold(text)``, worked out once by the caller for all fields; without it every
+regex runs on every text, with the same result.
 """
 
 from __future__ import annotations
@@ -13,27 +15,27 @@ from billsift.functions.amounts import captured_amount, round_money
 from billsift.functions.text import HIGH, LOW, MISSING, bind, first_match, regex_hit, strip
 
 
-def invoice_id(text: Column) -> Column:
-    return first_match(text, labels.INVOICE_ID_BANK)
+def invoice_id(text: Column, folded: Column | None = None) -> Column:
+    return first_match(text, labels.INVOICE_ID_BANK, folded)
 
 
-def invoice_date(text: Column) -> Column:
-    return first_match(text, labels.DATE_BANK)
+def invoice_date(text: Column, folded: Column | None = None) -> Column:
+    return first_match(text, labels.DATE_BANK, folded)
 
 
-def subtotal(text: Column) -> Column:
-    return first_match(text, labels.SUBTOTAL_BANK)
+def subtotal(text: Column, folded: Column | None = None) -> Column:
+    return first_match(text, labels.SUBTOTAL_BANK, folded)
 
 
-def grand_total(text: Column) -> Column:
-    return first_match(text, labels.GRAND_TOTAL_BANK)
+def grand_total(text: Column, folded: Column | None = None) -> Column:
+    return first_match(text, labels.GRAND_TOTAL_BANK, folded)
 
 
-def vendor_name(text: Column) -> Column:
+def vendor_name(text: Column, folded: Column | None = None) -> Column:
     """First line near the top that can be a company's name."""
     return regex_hit(
         text,
-        labels.VENDOR_LINE,
+        labels.Labelled("", labels.VENDOR_LINE),
         lambda line: bind(
             strip(line),
             lambda name: F.struct(
@@ -51,7 +53,7 @@ def _component(line: Column) -> Column:
     number.
     """
 
-    def of_kind(kind: str, pattern: str) -> Column:
+    def of_kind(kind: str, pattern: labels.Labelled) -> Column:
         return regex_hit(
             line, pattern, lambda m: F.struct(F.lit(kind).alias("kind"), captured_amount(m).alias("amount"))
         )
@@ -63,7 +65,7 @@ def _component(line: Column) -> Column:
     )
 
 
-def tax_components(text: Column) -> Column:
+def tax_components(text: Column, folded: Column | None = None) -> Column:
     """Array of ``struct(kind, amount)``, one entry per line that adds to a tax.
 
     Two passes find the lines with a component label, as its first letters and
@@ -72,6 +74,9 @@ def tax_components(text: Column) -> Column:
     first_letters, rest = (
         F.regexp_extract_all(text, F.lit(labels.COMPONENT_TAIL), F.lit(group)) for group in (1, 0)
     )
+    if folded is not None:
+        possible = F.contains(folded, F.lit(labels.COMPONENT_ANCHOR))
+        first_letters, rest = (F.when(possible, found).otherwise(F.array()) for found in (first_letters, rest))
     lines = F.zip_with(first_letters, rest, lambda letters, tail: F.concat(letters, tail))
     return F.filter(F.transform(lines, _component), lambda c: c["amount"].isNotNull())
 
@@ -85,17 +90,17 @@ def component_sum(components: Column, kind: str) -> Column:
     )
 
 
-def generic_tax(text: Column) -> Column:
+def generic_tax(text: Column, folded: Column | None = None) -> Column:
     """Amount of the first general tax label whose amount is a number."""
-    return F.coalesce(*(regex_hit(text, p, captured_amount) for p in labels.GENERIC_TAX_BANK))
+    return F.coalesce(*(regex_hit(text, p, captured_amount, folded) for p in labels.GENERIC_TAX_BANK))
 
 
-def tax(text: Column) -> Column:
+def tax(text: Column, folded: Column | None = None) -> Column:
     """``struct(components, generic)``; general labels are tried only without components."""
     return bind(
-        tax_components(text),
+        tax_components(text, folded),
         lambda found: F.struct(
-            found.alias("components"), F.when(F.size(found) == 0, generic_tax(text)).alias("generic")
+            found.alias("components"), F.when(F.size(found) == 0, generic_tax(text, folded)).alias("generic")
         ),
     )
 

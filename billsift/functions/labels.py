@@ -11,6 +11,9 @@ give digits back to the amount that follows it.
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
 # --- fixed values: labels as printed on invoices, in the order they are tried ---
 # A blank stands for one or more white-space characters, line breaks included.
 INVOICE_ID_LABELS = [
@@ -81,7 +84,8 @@ def _spaced(label: str) -> str:
 
 
 def id_pattern(label: str) -> str:
-    tail = r"([A-Z0-9][A-Z0-9\-/]++)"
+    # Both cases are spelled out: a range takes fewer odd letters than its letters do.
+    tail = r"([A-Za-z0-9][A-Za-z0-9\-/]++)"
     return f"{FLAGS}{_spaced(label)}{_GAP}(?:[:#]{_GAP})?+{tail}"
 
 
@@ -105,26 +109,40 @@ def date_pattern(label: str, date: str) -> str:
     return f"{FLAGS}{label}{_GAP}(?:[:\\-]{_GAP})?+({date})"
 
 
-INVOICE_ID_BANK = [id_pattern(label) for label in INVOICE_ID_LABELS]
-SUBTOTAL_BANK = [amount_pattern(label) for label in SUBTOTAL_LABELS]
-GRAND_TOTAL_BANK = [
-    *(amount_pattern(label) for label in GRAND_TOTAL_LABELS),
-    bare_amount_pattern(BARE_TOTAL_LABEL),
-]
+
+
+class Labelled(NamedTuple):
+    """A regex and a lower-case text without which it cannot match ('' for any)."""
+
+    anchor: str
+    regex: str
+
+
+def anchor_of(label: str) -> str:
+    """The longest run of letters that every spelling of the label has."""
+    fixed = re.sub(r"\(\?:.*?\)\??|\[.*?\]\??|\\.[*?]?|\w\?", " ", label)
+    return max(re.findall("[a-z]+", fixed.lower()), key=len)
+
+
+def _bank(build, *label_lists: list[str]) -> list[Labelled]:
+    return [Labelled(anchor_of(label), build(label)) for labels in label_lists for label in labels]
+
+
+INVOICE_ID_BANK = _bank(id_pattern, INVOICE_ID_LABELS)
+SUBTOTAL_BANK = _bank(amount_pattern, SUBTOTAL_LABELS)
+GRAND_TOTAL_BANK = _bank(amount_pattern, GRAND_TOTAL_LABELS) + _bank(bare_amount_pattern, [BARE_TOTAL_LABEL])
 # "Invoice Date" needs no entry of its own: it ends in "Date".
 DATE_BANK = [
-    date_pattern("Date", NUMERIC_DATE),
-    date_pattern("Date", rf"\d{{1,2}}{BLANK}++{WORD}++{BLANK}++\d{{4}}"),
-    date_pattern("Dated?", NUMERIC_DATE),
-    rf"(?U)(?<!{WORD})({BARE_DATE})(?!{WORD})",
-]
-CGST_BANK = [rated_amount_pattern(label) for label in CGST_LABELS]
-SGST_BANK = [rated_amount_pattern(label) for label in SGST_LABELS]
-IGST_BANK = [rated_amount_pattern(label) for label in IGST_LABELS]
-GENERIC_TAX_BANK = [
-    bracketed_rate_pattern(GENERIC_GST_LABEL),
-    *(amount_pattern(label) for label in GENERIC_TAX_LABELS),
+    Labelled("date", date_pattern("Date", NUMERIC_DATE)),
+    Labelled("date", date_pattern("Date", rf"\d{{1,2}}{BLANK}++{WORD}++{BLANK}++\d{{4}}")),
+    Labelled("date", date_pattern("Dated?", NUMERIC_DATE)),
+    Labelled("", rf"(?U)(?<!{WORD})({BARE_DATE})(?!{WORD})"),
 ]
+CGST_BANK = _bank(rated_amount_pattern, CGST_LABELS)
+SGST_BANK = _bank(rated_amount_pattern, SGST_LABELS)
+IGST_BANK = _bank(rated_amount_pattern, IGST_LABELS)
+GENERIC_TAX_BANK = _bank(bracketed_rate_pattern, [GENERIC_GST_LABEL]) + _bank(amount_pattern, GENERIC_TAX_LABELS)
+COMPONENT_ANCHOR = anchor_of(GENERIC_GST_LABEL)
 
 # What follows the first component label of a line, up to the line's end; group 1
 # is the letters before "GST". Every further label of the line is inside. The
@@ -138,7 +156,7 @@ def vendor_line_pattern(head_lines: int, stop_tokens: list[str]) -> str:
     """Group 1 is the first of the head lines that can be a company's name.
 
     A name has no stop token, an ASCII letter, and three characters or more
-    between its outer blanks. Lines before it are skipped without going back.
+    between its outer blanks. Each line is tested once.
     """
     solid = f"[^{BLANK[1:-1]}]"
     name = (
@@ -146,8 +164,7 @@ def vendor_line_pattern(head_lines: int, stop_tokens: list[str]) -> str:
         f"(?={IN_LINE}*?[A-Za-z])"
         f"(?={BLANK_IN_LINE}*+{solid}{IN_LINE}+{solid})"
     )
-    skipped = f"(?!{name}){IN_LINE}*+{LINE_BREAK}"
-    return rf"(?U)\A(?:{skipped}){{0,{head_lines - 1}}}+{name}({IN_LINE}++)"
+    return rf"(?U)\A(?:{IN_LINE}*+{LINE_BREAK}){{0,{head_lines - 1}}}?{name}({IN_LINE}++)"
 
 
 VENDOR_LINE = vendor_line_pattern(VENDOR_HEAD_LINES, VENDOR_STOP_TOKENS)

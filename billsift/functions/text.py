@@ -34,21 +34,40 @@ def bind(value: Column, build) -> Column:
     return F.element_at(F.transform(F.array(value), lambda v: F.when(v.isNotNull(), build(v))), 1)
 
 
-def regex_hit(text: Column, pattern: str, build) -> Column:
-    """``build(group 1)`` if the pattern is found in the text, else NULL."""
-    return bind(F.regexp_extract(text, pattern, 1), lambda m: F.when(m != "", build(m)))
+def fold(text: Column) -> Column:
+    """Lower-case text in which a part of a label can be looked for.
+
+    A case-insensitive regex takes four letters beyond ASCII for i, s or k;
+    here they are those letters, so a label missing here cannot match there.
+    """
+    folded = F.lower(text)
+    for letter, plain in (("i\u0307", "i"), ("\u0131", "i"), ("\u017f", "s"), ("\u212a", "k")):
+        folded = F.replace(folded, F.lit(letter), F.lit(plain))
+    return folded
+
+
+def regex_hit(text: Column, pattern: labels.Labelled, build, folded: Column | None = None) -> Column:
+    """``build(group 1)`` if the pattern is found in the text, else NULL.
+
+    With ``folded`` given, the regex runs only on texts that contain its
+    anchor; a byte search costs a small part of a regex search.
+    """
+    hit = bind(F.regexp_extract(text, pattern.regex, 1), lambda m: F.when(m != "", build(m)))
+    if folded is None or not pattern.anchor:
+        return hit
+    return F.when(F.contains(folded, F.lit(pattern.anchor)), hit)
 
 
-def first_match(text: Column, bank: list[str]) -> Column:
+def first_match(text: Column, bank: list[labels.Labelled], folded: Column | None = None) -> Column:
     """``struct(value, confidence)`` of the first pattern that matches, else NULL.
 
     ``coalesce`` stops at the first hit, so later patterns do not run.
     """
 
-    def attempt(rank: int, pattern: str) -> Column:
+    def attempt(rank: int, pattern: labels.Labelled) -> Column:
         confidence = HIGH if rank == 0 else LOW
         return regex_hit(
-            text, pattern, lambda m: F.struct(m.alias("value"), F.lit(confidence).alias("confidence"))
+            text, pattern, lambda m: F.struct(m.alias("value"), F.lit(confidence).alias("confidence")), folded
         )
 
     return F.coalesce(*(attempt(rank, pattern) for rank, pattern in enumerate(bank)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from billsift import schemas
 from billsift.functions import fields, scoring
 from billsift.functions.amounts import captured_amount
-from billsift.functions.text import MISSING, confidence_of, has_text, strip
+from billsift.functions.text import MISSING, confidence_of, fold, has_text, strip
 
 TEXT_LAYER, OCR = "text_layer", "ocr"
 NO_TEXT = "ValueError: PDF produced no text even after OCR attempt."
@@ -46,8 +46,9 @@ def find_fields(routed: DataFrame, names: list[str]) -> DataFrame:
     All searches share one projection; what follows no longer carries the text.
     """
     kept = [c for c in routed.columns if c != "text"]
-    hits = (FINDERS[name](F.col("text")).alias(f"{name}_hit") for name in names)
-    return routed.select(*kept, *hits)
+    text, folded = F.col("text"), F.col("_folded")
+    hits = (FINDERS[name](text, folded).alias(f"{name}_hit") for name in names)
+    return routed.withColumn("_folded", fold(text)).select(*kept, *hits)
 
 
 def _decode_text(found: DataFrame, name: str) -> DataFrame:

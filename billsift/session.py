@@ -21,9 +21,11 @@ def local_session(cores: str = "*", app: str = "billsift", shuffle_partitions: i
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        # Test tables are small, and reading texts is work per row, not per byte:
-        # without this, one task would get all of them.
+        # Test tables are small files of one row group, and reading texts is work
+        # per row, not per byte. Without these two, the joins would leave all
+        # rows in the one task that scans such a file.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BILLSIFT_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
