@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 
 from billsift import schemas
-from billsift.operators import extract, load, metrics
+from billsift.operators import extract, metrics
 from billsift.session import new_path
 from billsift.sources import tables
 
@@ -51,8 +51,7 @@ def run(documents: DataFrame, store: Store, incremental: bool = False) -> DataFr
             before = tables.read_processed(spark, store.processed).count()
             loaded = tables.load_incremental(good, store.processed).count() - before
         else:
-            tables.load_full_refresh(good, store.processed)
-            loaded = load.load_counts(good).first()["inserted"]
+            loaded = tables.load_full_refresh(good, store.processed).count()
         notes = "SUCCESS"
     return tables.append_run_log(
         spark,
