@@ -37,7 +37,10 @@ def totals_agree(total: Column, expected: Column) -> Column:
 
 
 def validation_note(subtotal: Column, tax: Column, total: Column, expected: Column) -> Column:
-    """Why a record could not be checked or did not pass; empty if it passed."""
+    """Why a record could not be checked or did not pass; empty if it passed.
+
+    The wording is a fixed value, stored in the table.
+    """
     missing = missing_amounts(subtotal=subtotal, tax_amount=tax, grand_total=total)
     mismatch = F.concat(
         F.lit("Total mismatch: grand_total="), two_decimals(total),

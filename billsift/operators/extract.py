@@ -10,6 +10,7 @@ from billsift.functions import fields, scoring
 from billsift.functions.amounts import captured_amount
 from billsift.functions.text import MISSING, confidence_of, fold, has_text, strip
 
+# Fixed values, as stored in the tables.
 TEXT_LAYER, OCR = "text_layer", "ocr"
 NO_TEXT = "ValueError: PDF produced no text even after OCR attempt."
 
