@@ -1,11 +1,10 @@
-"""Dealing (key, document) pairs out by key in packed blocks.
+"""Dealing keys out to tasks in packed blocks.
 
 A corpus has about as many windows or signatures as words. One Spark row for each
-would cost more than the work itself, so a map task packs the pairs of a batch into
-one block per bucket of keys. Each key that a batch holds several times is sent
-once, with the smallest id that has it, so that a key that a third of all documents
-share reaches its task as often as there are batches. Keys keep 48 bits here: a
-bucket proposes candidates, and whoever uses them decides exactly.
+would cost more than the work itself, so a map task packs those of a slab of texts
+into one block per bucket of keys, and Spark shuffles the blocks. Who deals keys sends
+each key of a slab once, so that one that a third of all documents share reaches its
+bucket as often as there are slabs, not documents.
 """
 
 from __future__ import annotations
@@ -17,65 +16,102 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = "bucket int, packed binary"
+#: A block has a bucket and no id. A row with an id is passed on as it is.
+BLOCKS = "bucket int, doc_id long, packed binary"
+_NAMES = ["bucket", "doc_id", "packed"]
 BUCKETS_PER_TASK = 8
-KEY_BITS = 48
+KEY48 = np.uint64((1 << 48) - 1)
 
 
-def firsts(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order pairs by key and id; also the index at which the key of each pair begins."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
+def group_begin(*columns: np.ndarray) -> np.ndarray:
+    """For each entry of sorted columns the index at which its group of equals begins."""
+    n = len(columns[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
     begin = np.flatnonzero(new)
-    return keys, ids, np.repeat(begin, np.diff(np.append(begin, len(keys))))
+    return np.repeat(begin, np.diff(np.append(begin, n)))
 
 
-def pack(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Pairs as one block per bucket. Keys are 48 bits in size."""
-    bucket = ((keys >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(KEY_BITS - 16)
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket by bits 16-47 of the keys."""
+    return ((((keys & KEY48) >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def pack(keys: np.ndarray, columns: list[tuple[np.ndarray, int]], buckets: int) -> pa.RecordBatch:
+    """Blocks of equally long columns; of each 8-byte value the given low bytes are kept."""
+    bucket = bucket_of(keys, buckets)
     order = np.argsort(bucket, kind="stable")
-    keys, ids, bucket = keys[order], ids[order], bucket[order].astype(np.int64)
-    low = keys.view(np.uint8).reshape(-1, 8)[:, :6]
-    number = ids.astype(np.int64).view(np.uint8).reshape(-1, 8)
+    bucket = bucket[order]
+    parts = [np.ascontiguousarray(c[order].view(np.uint8).reshape(-1, 8)[:, :width]) for c, width in columns]
     used, begin = np.unique(bucket, return_index=True)
     stop = np.append(begin[1:], len(bucket))
-    blocks = [low[a:b].tobytes() + number[a:b].tobytes() for a, b in zip(begin, stop, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "packed"])
+    blocks = [b"".join(p[a:b].tobytes() for p in parts) for a, b in zip(begin, stop, strict=True)]
+    arrays = [pa.array(used, pa.int32()), pa.nulls(len(used), pa.int64()), pa.array(blocks, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
-def unpack(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    n = [len(b) // 14 for b in blocks]
-    keys = np.zeros((sum(n), 8), np.uint8)
-    ids = np.empty(sum(n), np.int64)
+def unpack(blocks: list[bytes], widths: list[int]) -> list[np.ndarray]:
+    """The columns of some blocks, as 64-bit unsigned values."""
+    sizes = [len(b) // sum(widths) for b in blocks]
+    out = [np.zeros((sum(sizes), 8), np.uint8) for _ in widths]
     at = 0
-    for block, size in zip(blocks, n, strict=True):
-        keys[at : at + size, :6] = np.frombuffer(block, np.uint8, size * 6).reshape(-1, 6)
-        ids[at : at + size] = np.frombuffer(block, np.int64, size, size * 6)
-        at += size
-    return keys.view(np.uint64).ravel(), ids
-
-
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Blocks of each bucket; the rows come in order of buckets."""
-    now, blocks = None, []
-    for batch in batches:
-        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if bucket != now and blocks:
-                yield now, blocks
-                blocks = []
-            now = bucket
-            blocks.append(block)
-    if blocks:
-        yield now, blocks
-
-
-def tasks_of(frame: DataFrame) -> int:
-    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def deal(blocks: DataFrame, tasks: int, reduce: Callable, schema: str) -> DataFrame:
-    """Bring the blocks of each bucket together and apply ``reduce`` to them in a task."""
-    dealt = blocks.repartitionById(tasks, F.col("bucket") % F.lit(tasks)).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(reduce, schema)
+    for block, n in zip(blocks, sizes, strict=True):
+        skip = 0
+        for column, width in zip(out, widths, strict=True):
+            column[at : at + n, :width] = np.frombuffer(block, np.uint8, n * width, skip).reshape(n, width)
+            skip += n * width
+        at += n
+    return [column.view(np.uint64).ravel() for column in out]
+
+
+def per_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Ids and, for each, its values packed."""
+    order = np.argsort(ids, kind="stable")
+    ids, values = ids[order], values[order]
+    own, begin = np.unique(ids, return_index=True)
+    stop = np.append(begin[1:], len(ids))[: len(begin)]
+    return own, [values[a:b].tobytes() for a, b in zip(begin, stop, strict=True)]
+
+
+def passed_on(ids: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows for documents that need nobody's decision, spread over the buckets."""
+    own, packed = per_id(ids, values)
+    bucket = (own % buckets).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(own, pa.int64()), pa.array(packed, pa.binary())], _NAMES)
+
+
+def deal(frame: DataFrame, dealer: Callable, decide: Callable, widths: list[int]) -> DataFrame:
+    """Deal keys of a frame out, decide on each bucket, and return ``doc_id, packed``.
+
+    ``dealer(buckets)`` makes the function that turns batches into blocks.
+    ``decide(*columns)`` gets all entries of a bucket and returns ids and values.
+    A task works on a bucket at a time.
+    """
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
+
+        def settled(blocks: list[bytes]) -> pa.RecordBatch:
+            own, packed = per_id(*decide(*unpack(blocks, widths)))
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(packed, pa.binary())], schema=schema)
+
+        now, blocks = None, []
+        for batch in batches:
+            block = batch.column("doc_id").is_null()
+            if block.true_count < len(block):
+                yield batch.filter(batch.column("doc_id").is_valid()).select(["doc_id", "packed"])
+            batch = batch.filter(block)
+            for bucket, one in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if bucket != now and blocks:
+                    yield settled(blocks)
+                    blocks = []
+                now = bucket
+                blocks.append(one)
+        if blocks:
+            yield settled(blocks)
+
+    blocks = frame.mapInArrow(dealer(tasks * BUCKETS_PER_TASK), BLOCKS)
+    dealt = blocks.repartitionById(tasks, F.pmod(F.col("bucket"), F.lit(tasks))).sortWithinPartitions("bucket")
+    return dealt.mapInArrow(settle, "doc_id long, packed binary")
