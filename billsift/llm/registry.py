@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.rules import op8_quality_rules
 from billsift.llm.similar import op7_ngram_jaccard_join
 from billsift.llm.substrings import op4_substring_dedup
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {
     name: _importable(query)
     for name, query in {
         "op2_token_counts": op2_token_counts,
+        "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_substring_dedup": op4_substring_dedup,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
