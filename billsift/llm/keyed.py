@@ -81,37 +81,53 @@ def passed_on(ids: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(own, pa.int64()), pa.array(packed, pa.binary())], _NAMES)
 
 
-def deal(frame: DataFrame, dealer: Callable, decide: Callable, widths: list[int]) -> DataFrame:
-    """Deal keys of a frame out, decide on each bucket, and return ``doc_id, packed``.
+PACKED = "doc_id long, packed binary"
+SINGLE = "doc_id long, value long"
+
+
+def _single(ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(ids, pa.int64()), pa.array(values.view(np.int64), pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "value"])
+
+
+def _packed(ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    own, packed = per_id(ids, values)
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+
+
+def deal(frame: DataFrame, dealer: Callable, decide: Callable, widths: list[int], schema: str = PACKED) -> DataFrame:
+    """Deal keys of a frame out and decide on each bucket.
 
     ``dealer(buckets)`` makes the function that turns batches into blocks.
-    ``decide(*columns)`` gets all entries of a bucket and returns ids and values.
-    A task works on a bucket at a time.
+    ``decide(*columns)`` gets all entries of a bucket and returns ids and values, which
+    come as rows of ``schema``: ``PACKED`` by id, or ``SINGLE``. A task works on a
+    bucket at a time.
     """
     tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows_of = _packed if schema == PACKED else _single
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
-
-        def settled(blocks: list[bytes]) -> pa.RecordBatch:
-            own, packed = per_id(*decide(*unpack(blocks, widths)))
-            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(packed, pa.binary())], schema=schema)
-
         now, blocks = None, []
         for batch in batches:
             block = batch.column("doc_id").is_null()
             if block.true_count < len(block):
-                yield batch.filter(batch.column("doc_id").is_valid()).select(["doc_id", "packed"])
+                own = batch.filter(batch.column("doc_id").is_valid())
+                if schema == PACKED:
+                    yield own.select(["doc_id", "packed"])
+                else:
+                    packed = own.column("packed").to_pylist()
+                    ids = np.repeat(own.column("doc_id").to_numpy(), [len(p) // 8 for p in packed])
+                    yield _single(ids, np.frombuffer(b"".join(packed), np.int64))
             batch = batch.filter(block)
             for bucket, one in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
                 if bucket != now and blocks:
-                    yield settled(blocks)
+                    yield rows_of(*decide(*unpack(blocks, widths)))
                     blocks = []
                 now = bucket
                 blocks.append(one)
         if blocks:
-            yield settled(blocks)
+            yield rows_of(*decide(*unpack(blocks, widths)))
 
     blocks = frame.mapInArrow(dealer(tasks * BUCKETS_PER_TASK), BLOCKS)
     dealt = blocks.repartitionById(tasks, F.pmod(F.col("bucket"), F.lit(tasks))).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(settle, "doc_id long, packed binary")
+    return dealt.mapInArrow(settle, schema)
