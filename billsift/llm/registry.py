@@ -7,11 +7,13 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.rules import op8_quality_rules
 from billsift.llm.similar import op7_ngram_jaccard_join
 from billsift.llm.substrings import op4_substring_dedup
 from billsift.llm.token_counts import op2_token_counts
+from billsift.llm.toxicity import op10_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +31,13 @@ def _importable(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _importable(query)
     for name, query in {
+        "op1_chat_formatting": op1_chat_formatting,
         "op2_token_counts": op2_token_counts,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_substring_dedup": op4_substring_dedup,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
+        "op10_toxicity": op10_toxicity,
     }.items()
 }
 
