@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
+from billsift.llm.html import op5_html_extraction
 from billsift.llm.pieces import op9_sentencepiece
 from billsift.llm.rules import op8_quality_rules
 from billsift.llm.similar import op7_ngram_jaccard_join
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {
         "op2_token_counts": op2_token_counts,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_html_extraction": op5_html_extraction,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
         "op9_sentencepiece": op9_sentencepiece,
