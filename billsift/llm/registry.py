@@ -11,6 +11,7 @@ from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.html import op5_html_extraction
 from billsift.llm.pieces import op9_sentencepiece
+from billsift.llm.quality import op6_quality_classifier
 from billsift.llm.rules import op8_quality_rules
 from billsift.llm.similar import op7_ngram_jaccard_join
 from billsift.llm.substrings import op4_substring_dedup
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_html_extraction": op5_html_extraction,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
         "op8_quality_rules": op8_quality_rules,
         "op9_sentencepiece": op9_sentencepiece,
