@@ -228,26 +228,39 @@ def _search(index: Index):
     return run
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """A row per document and item found in it: edits, first word and number of words."""
-    texts = documents.select("doc_id", "text")
+def _indexes(benchmark: DataFrame, block_items: int) -> Iterator[Index]:
+    """The items in blocks, each with its keys; a block is all that the driver holds."""
     items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
     blocks = max(1, -(-items.count() // block_items))
-    results = []
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toArrow()
-        index = Index(part.column("item_id").to_pylist(), part.column("text"))
-        results.append(texts.mapInArrow(_search(index), _FOUND))
-    return reduce(DataFrame.union, results)
+        yield Index(part.column("item_id").to_pylist(), part.column("text"))
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """A row per document and item found in it: edits, first word and number of words."""
+    texts = documents.select("doc_id", "text")
+    return reduce(DataFrame.union, [texts.mapInArrow(_search(i), _FOUND) for i in _indexes(benchmark, block_items)])
 
 
-def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item is found, with all their columns.
+def _clean(index: Index):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slab in slabs(batch.column("text")):
+                first, last, rows = slab.words()
+                found = index.found(slab.hashes(first, last, lower=True), rows, len(slab))
+                clean = np.ones(len(slab), bool)
+                clean[[row for row, _ in found]] = False
+                yield batch.slice(slab.first_row, len(slab)).filter(pa.array(clean))
+
+    return run
+
 
-    Rows without an id cannot be told apart and are kept.
-    """
-    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    return documents.join(bad, F.col("doc_id") == F.col("_found"), "left_anti")
+def decontaminated(documents: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The documents in which no benchmark item is found, with all their columns."""
+    for index in _indexes(benchmark, block_items):
+        documents = documents.mapInArrow(_clean(index), documents.schema)
+    return documents
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from billsift.llm.toxicity import op10_toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _importable(query: Query) -> Query:
+def importable(query: Query) -> Query:
     """Workers of a local session started in another folder find the package too."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def _importable(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    name: _importable(query)
+    name: importable(query)
     for name, query in {
         "op1_chat_formatting": op1_chat_formatting,
         "op2_token_counts": op2_token_counts,

@@ -219,17 +219,24 @@ def calibrate(scored: DataFrame, lost_good: float = LOST_GOOD_ROWS) -> float:
     return (best[0] + best[-1]) / 2 / BINS if value.max() > 0 else 2.0
 
 
-def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: the counts, ``base_failed``, ``anomaly``, ``kept``.
+def fitted(statistics: DataFrame, labels: DataFrame) -> tuple[IsolationForest | None, float]:
+    """Forest and threshold from the labelled rows of written statistics.
 
-    Statistics are computed once and kept in the shared folder. Labels join by id;
-    where an id has several labels, all of them count.
+    Labels join by id; where an id has several labels, all of them count.
     """
-    statistics = kept(rule_statistics(documents), "rule-statistics")
     labels = labels.select(F.col("doc_id").alias("_id"), F.col("quality"))
     labelled = statistics.join(labels, F.col("doc_id") == F.col("_id")).drop("_id")
     forest = grow_forest(labelled)
-    threshold = calibrate(with_scores(labelled, forest))
+    return forest, calibrate(with_scores(labelled, forest))
+
+
+def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per document: the counts, ``base_failed``, ``kept``, ``anomaly``.
+
+    Statistics are computed once and kept in the shared folder.
+    """
+    statistics = kept(rule_statistics(documents), "rule-statistics")
+    forest, threshold = fitted(statistics, labels)
     return with_scores(statistics, forest).select(
         "doc_id",
         *COUNTS,
@@ -239,6 +246,24 @@ def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that pass the rules, with all their columns, without a shuffle of texts."""
+    statistics = kept(rule_statistics(documents), "rule-statistics")
+    forest, threshold = fitted(statistics, labels)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slab in slabs(batch.column("text")):
+                stats = slab_statistics(slab)
+                few = stats["n_words"] < MIN_WORDS
+                failed = few | (100 * stats["n_repeat_words"] > MAX_REPEATED_PERCENT * stats["n_words"])
+                if forest is not None:
+                    failed |= forest.scores(np.column_stack([stats[c] for c in SHARES])) >= threshold
+                yield batch.slice(slab.first_row, len(slab)).filter(pa.array(~failed))
+
+    return documents.mapInArrow(good, documents.schema)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return quality_rules(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from billsift.session import new_path
 
@@ -16,3 +17,11 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     path = new_path(frame.sparkSession, f"llm-{name}")
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+BROADCAST_IDS = 1_000_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be sent to all tasks if it is short; else joins shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
