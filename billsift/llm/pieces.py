@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding by batched Viterbi.
 
 The distinct words of a batch are sorted by length, and words of one length advance
-together: at each position the hashes of all substrings that end there are looked up
-among the sorted hashes of the pieces, and vectorised maxima of the path scores leave a
-backpointer per word. White space always begins a word (``vocabulary`` refuses models with
+together: at each position the hashes of the substrings that begin there are looked up
+among the sorted hashes of the pieces and their beginnings, and vectorised maxima of the
+path scores leave a backpointer per word and position. White space always begins a word (``vocabulary`` refuses models with
 pieces that go on after it), so the best path of a text is that of its words.
 
 For a unigram model the scores are its piece scores. A BPE model's result is the one path on
@@ -21,6 +21,7 @@ columns are kept unless named like the results.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.texts import mix
 from billsift.llm.vocabulary import BPE, SPACE, Vocabulary, vocabulary_of
 
-MAX_WORDS = 1 << 18  # encodings of words that a worker remembers
+MAX_WORDS = 1 << 19  # encodings of words that a worker remembers
 PAIR_BITS = 20
-ROWS = 1000  # texts encoded together
+ROWS = 3000  # texts encoded together
 _WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN = -2
@@ -46,14 +47,20 @@ class Encoder:
         self.vocabulary = vocabulary
         self.longest = vocabulary.longest
         names = list(vocabulary.ids)
-        self.codes = np.zeros((len(names), self.longest), np.uint32)
+        codes = np.zeros((len(names), self.longest), np.uint32)
         for row, name in enumerate(names):
-            self.codes[row, : len(name)] = [ord(c) for c in name]
+            codes[row, : len(name)] = [ord(c) for c in name]
         sizes = np.array([len(n) for n in names], np.int64)
-        keys = self._prefixes(self.codes)[np.arange(len(names)), sizes] + sizes.astype(np.uint64)
-        order = np.argsort(keys)
-        self.keys, self.sizes, self.codes = keys[order], sizes[order], self.codes[order]
-        self.number = np.array([vocabulary.ids[n] for n in names], np.int64)[order]
+        heads, row, size = self._heads(codes, sizes)
+        whole = size == sizes[row]
+        order = np.lexsort((~whole, heads))  # a piece before longer ones that begin with it
+        first = np.ones(len(order), bool)
+        first[1:] = heads[order][1:] != heads[order][:-1]
+        order = order[first]
+        self.keys = heads[order]
+        self.number = np.where(whole[order], np.array([vocabulary.ids[n] for n in names], np.int64)[row[order]], -1)
+        self.codes = np.zeros((len(vocabulary.pieces), self.longest), np.uint32)
+        self.codes[list(vocabulary.ids.values())] = codes
         self.scores = np.array(vocabulary.scores)
         self.text = [p.encode() for p in vocabulary.pieces]
         for byte, number in vocabulary.bytes.items():
@@ -71,17 +78,11 @@ class Encoder:
             sums[:, i + 1] = sums[:, i] * _BASE + mix(codes[:, i].astype(np.uint64) + np.uint64(1))
         return sums
 
-    def _piece(self, codes: np.ndarray, prefixes: np.ndarray, start: int, stop: int) -> np.ndarray:
-        """The piece that each row's characters from start to stop are, or -1."""
-        size = stop - start
-        power = np.uint64(pow(int(_BASE), size, 1 << 64))
-        keys = prefixes[:, stop] - prefixes[:, start] * power + np.uint64(size)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = np.flatnonzero((self.keys[at] == keys) & (self.sizes[at] == size))
-        hit = hit[(self.codes[at[hit], :size] == codes[hit, start:stop]).all(1)]
-        piece = np.full(len(codes), -1, np.int64)
-        piece[hit] = self.number[at[hit]]
-        return piece
+    def _heads(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of each beginning of each piece, whose it is, and its length."""
+        prefixes = self._prefixes(codes)
+        row, size = np.nonzero(np.arange(1, self.longest + 1) <= sizes[:, None])
+        return prefixes[row, size + 1] + (size + 1).astype(np.uint64), row, size + 1
 
     def _may_meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pieces can be neighbours; tested once for each distinct pair."""
@@ -103,34 +104,72 @@ class Encoder:
         self.pairs[slots[clash]] = -1
         return result
 
+    def _relax(self, best, back, length, row, piece, start: int, stop: int) -> None:
+        """Let paths that end in these pieces be the best ones where they are better."""
+        if not len(row):
+            return
+        known = piece >= 0
+        allowed = best[start].take(row) > -np.inf
+        allowed[known] &= self._may_meet(back[start].take(row[known]), piece[known])
+        row, piece = row[allowed], piece[allowed]
+        score = best[start].take(row) + np.where(piece >= 0, self.scores[piece], self.vocabulary.unknown_score)
+        better = score > best[stop].take(row)
+        row = row[better]
+        best[stop][row], back[stop][row], length[stop][row] = score[better], piece[better], stop - start
+
     def _best_paths(self, words: list[str]) -> list[bytes]:
         """Ids of words of one length, as packed 32-bit numbers."""
         size = len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), size)
-        prefixes = self._prefixes(codes)
-        best = np.full((len(words), size + 1), -np.inf)
-        best[:, 0] = 0
-        back = np.full((len(words), size + 1), _UNKNOWN, np.int64)  # the piece that ends here
-        back[:, 0] = -1
-        length = np.ones((len(words), size + 1), np.int64)
-        for stop in range(1, size + 1):
-            single = np.zeros(len(words), bool)
-            for start in range(max(0, stop - self.longest), stop):
-                piece = self._piece(codes, prefixes, start, stop)
-                if start == stop - 1:
-                    single = piece >= 0
-                row = np.flatnonzero((piece >= 0) & (best[:, start] > -np.inf))
-                row = row[self._may_meet(back[row, start], piece[row])] if len(row) else row
-                score = best[row, start] + self.scores[piece[row]]
-                better = score > best[row, stop]
-                row = row[better]
-                best[row, stop], back[row, stop], length[row, stop] = score[better], piece[row], stop - start
-            row = np.flatnonzero(~single)
-            score = best[row, stop - 1] + self.vocabulary.unknown_score
-            better = score > best[row, stop]
-            row = row[better]
-            best[row, stop], back[row, stop], length[row, stop] = score[better], _UNKNOWN, 1
-        return [self._walk(word, back[i], length[i]) for i, word in enumerate(words)]
+        prefixes = np.ascontiguousarray(self._prefixes(codes).T)
+        best = np.full((size + 1, len(words)), -np.inf)
+        best[0] = 0
+        back = np.full((size + 1, len(words)), _UNKNOWN, np.int64)  # the piece that ends here
+        back[0] = -1
+        length = np.ones((size + 1, len(words)), np.int64)
+        every = np.arange(len(words))
+        for start in range(size):
+            row, single = every, np.zeros(len(words), bool)
+            for stop in range(start + 1, min(size, start + self.longest) + 1):
+                # which words have a piece, or the beginning of one, from start to stop
+                power = np.uint64(pow(int(_BASE), stop - start, 1 << 64))
+                keys = prefixes[stop].take(row) - prefixes[start].take(row) * power + np.uint64(stop - start)
+                at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+                hit = self.keys[at] == keys
+                row, piece = row[hit], self.number[at[hit]]
+                if not len(row):
+                    break
+                own, piece = row[piece >= 0], piece[piece >= 0]
+                same = (self.codes[piece, : stop - start] == codes[own, start:stop]).all(1)
+                own, piece = own[same], piece[same]
+                if stop == start + 1:
+                    single[own] = True
+                self._relax(best, back, length, own, piece, start, stop)
+            own = np.flatnonzero(~single)
+            self._relax(best, back, length, own, np.full(len(own), _UNKNOWN), start, start + 1)
+        return self._walks(words, back, length)
+
+    def _walks(self, words: list[str], back: np.ndarray, length: np.ndarray) -> list[bytes]:
+        """The pieces of each word, from its backpointers; all words step back together."""
+        every = np.arange(len(words))
+        row, at = every, np.full(len(words), len(words[0]))
+        odd = np.zeros(len(words), bool)
+        rows, steps = [], []
+        while len(row):
+            piece = back[at, row]
+            odd[row[piece == _UNKNOWN]] = True
+            rows.append(row)
+            steps.append(piece)
+            at = at - length[at, row]
+            row, at = row[at > 0], at[at > 0]
+        row, piece = np.concatenate(rows[::-1]), np.concatenate(steps[::-1]).astype(np.int32)
+        order = np.argsort(row, kind="stable")
+        edge = np.searchsorted(row[order], np.arange(len(words) + 1)) * 4
+        packed = piece[order].tobytes()
+        out = [packed[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self._walk(words[i], back[:, i], length[:, i])
+        return out
 
     def _walk(self, word: str, back: np.ndarray, length: np.ndarray) -> bytes:
         ids, at, unknown = [], len(word), False
@@ -142,7 +181,7 @@ class Encoder:
                 ids += self.vocabulary.unknown_tokens(word[at - 1])[::-1]
             unknown = piece == _UNKNOWN
             at -= size
-        return np.array(ids[::-1], np.int32).tobytes()
+        return array("i", ids[::-1]).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -150,9 +189,8 @@ class Encoder:
         if len(self.words) > MAX_WORDS:
             self.words.clear()
         fresh: dict[int, list[str]] = {}
-        for word in {w for words in split for w in words}:
-            if word not in self.words:
-                fresh.setdefault(len(word), []).append(word)
+        for word in set().union(*split).difference(self.words):
+            fresh.setdefault(len(word), []).append(word)
         for words in fresh.values():
             inner = [w.replace(" ", SPACE) for w in words]
             self.words.update(zip(words, self._best_paths(inner), strict=True))

@@ -71,6 +71,8 @@ class Vocabulary:
             raise ValueError("pieces that go on after white space can't be used")
         self.longest = max(map(len, self.ids), default=1)
         self._pairs: dict[tuple[int, int], bool] = {}
+        self._halves: dict[str, tuple[str, str] | None] = {}
+        self._alone: dict[str, list[str]] = {}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -95,15 +97,59 @@ class Vocabulary:
     def merged(self, text: str) -> list[str]:
         """BPE: join the neighbours whose joint piece has the best score, leftmost first."""
         parts = list(text)
-        while True:
-            best, place = None, -1
-            for i in range(len(parts) - 1):
-                joint = self.ids.get(parts[i] + parts[i + 1])
-                if joint is not None and (best is None or self.scores[joint] > best):
-                    best, place = self.scores[joint], i
-            if best is None:
-                return parts
+        while (place := self._next_merge(parts)) >= 0:
             parts[place : place + 2] = [parts[place] + parts[place + 1]]
+        return parts
+
+    def merged_piece(self, piece: str) -> list[str]:
+        """What merges make of a piece's own characters; almost always the piece."""
+        if piece not in self._alone:
+            self._alone[piece] = self.merged(piece)
+        return self._alone[piece]
+
+    def _next_merge(self, parts: list[str]) -> int:
+        best, place = None, -1
+        for i in range(len(parts) - 1):
+            joint = self.ids.get(parts[i] + parts[i + 1])
+            if joint is not None and (best is None or self.scores[joint] > best):
+                best, place = self.scores[joint], i
+        return place
+
+    def halves(self, piece: str) -> tuple[str, str] | None:
+        """The two parts whose merge makes a piece; None for a character, or if merges stop before."""
+        if piece not in self._halves:
+            parts = list(piece)
+            while len(parts) > 2 and (place := self._next_merge(parts)) >= 0:
+                parts[place : place + 2] = [parts[place] + parts[place + 1]]
+            self._halves[piece] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[piece]
+
+    def _stay_apart(self, left: str, right: str) -> bool:
+        """Whether no merge across the seam comes before those that make the two pieces.
+
+        Goes back through the merges on both sides of the seam, the later one first. A
+        merge across is due before that if the joint piece has a better score; at equal
+        scores the place further left comes first.
+        """
+        undone_left = undone_right = None  # scores of the merges undone last, by side
+        while True:
+            joint = self.ids.get(left + right)
+            if joint is not None:
+                score = self.scores[joint]
+                if undone_left is None and undone_right is None:
+                    return False
+                if undone_left is not None and score > undone_left or undone_right is not None and score >= undone_right:
+                    return False
+            a, b = self.halves(left), self.halves(right)
+            if a is None and b is None:
+                return True
+            left_score = self.scores[self.ids[left]] if a else None
+            right_score = self.scores[self.ids[right]] if b else None
+            # The merge that came later has the worse score; of equal ones the right one did.
+            if b is None or a is not None and left_score < right_score:
+                undone_left, undone_right, left = left_score, None, a[1]
+            else:
+                undone_left, undone_right, right = None, right_score, b[0]
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether the model can leave these two pieces side by side.
@@ -118,7 +164,11 @@ class Vocabulary:
             if len(self._pairs) >= 1 << 20:
                 self._pairs.clear()
             a, b = self.pieces[left], self.pieces[right]
-            known = self._pairs[left, right] = self.merged(a + b) == [a, b]
+            if SPACE in a and SPACE in b or len(self.merged_piece(a)) + len(self.merged_piece(b)) > 2:
+                known = self.merged(a + b) == [a, b]
+            else:
+                known = self._stay_apart(a, b)
+            self._pairs[left, right] = known
         return known
 
 
