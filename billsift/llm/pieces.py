@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.texts import mix
 from billsift.llm.vocabulary import BPE, SPACE, Vocabulary, vocabulary_of
 
-MAX_WORDS = 1 << 19  # encodings of words that a worker remembers
+MAX_WORDS = 1 << 17  # encodings of words that a worker remembers
 PAIR_BITS = 20
-ROWS = 3000  # texts encoded together
+ROWS = 2000  # texts encoded together
 _WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN = -2

@@ -33,6 +33,7 @@ from billsift.llm.texts import Slab, slabs, window_hashes, windows
 
 WIDTH = 13
 CORE = 7
+LOST = "_lost_windows"
 _WORDS = r"[ \t-\r]+"
 
 
@@ -152,7 +153,7 @@ def _cut(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            packed = batch.column("_lost")
+            packed = batch.column(LOST)
             texts, n_words, n_removed, spans = [], [], [], []
             for slab in slabs(column):
                 first, last, row = slab.words()
@@ -200,13 +201,13 @@ def _by_document(packed: DataFrame, name: str) -> DataFrame:
 
 
 def lost_windows(documents: DataFrame) -> DataFrame:
-    """Per document that loses windows: ``_id`` and their packed hashes in ``_lost``."""
+    """Per document that loses windows: ``_id`` and their packed hashes."""
     texts = documents.select("doc_id", "text")
     shared = kept(keyed.deal(texts, _deal_cores, _shared, [6, 8]), "shared-cores")
     candidates = _by_document(shared, "candidates")
     again = texts.join(candidates, F.col("doc_id") == F.col("_id")).drop("_id")
     lost = kept(keyed.deal(again, _deal_windows, _lost, [8, 8, 8]), "lost-windows")
-    return _by_document(lost, "_lost")
+    return _by_document(lost, LOST)
 
 
 def substring_dedup(documents: DataFrame) -> DataFrame:
@@ -216,14 +217,25 @@ def substring_dedup(documents: DataFrame) -> DataFrame:
     loses nothing is unchanged; elsewhere white space around an interval stays.
     Columns named like the results are replaced.
     """
-    names = [c for c in documents.columns if c not in ("n_words", "n_removed", "removed", "_id", "_lost")]
+    names = [c for c in documents.columns if c not in ("n_words", "n_removed", "removed", LOST)]
     documents = documents.select(*names)
-    joined = documents.join(lost_windows(documents), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    lost = lost_windows(documents)
+    joined = documents.join(lost, documents["doc_id"] == lost["_id"], "left").select(*(documents[c] for c in names), LOST)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     added = "n_words long, n_removed long, removed array<struct<first: long, last: long>>"
     return joined.mapInArrow(_cut(names), f"{fields}, {added}")
 
 
+def cut_documents(documents: DataFrame) -> DataFrame:
+    """The documents with their texts cut, and no other change but to ``n_chars``."""
+    own = {c: f"_own_{i}" for i, c in enumerate(documents.columns) if c in ("n_words", "n_removed", "removed", LOST)}
+    cut = substring_dedup(documents.withColumnsRenamed(own)).withColumnsRenamed({"n_removed": "_n_removed"})
+    if "n_chars" in documents.columns:
+        length = F.char_length("text").cast(documents.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(F.col("_n_removed") > 0, length).otherwise(F.col("n_chars")))
+    return cut.select(*(F.col(own.get(c, c)).alias(c) for c in documents.columns))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words = F.filter(F.split(F.coalesce("text", F.lit("")), _WORDS), lambda w: w != "")

@@ -1,6 +1,6 @@
 """Words, lines and hashes of an Arrow column of texts, without a loop over texts.
 
-A task reads its Arrow batch in slabs of two megabytes, so its memory does not
+A task reads its Arrow batch in slabs of a megabyte, so its memory does not
 depend on the size of a batch; a text longer than a slab is a slab of its own.
 Words are runs of bytes other than 0x20 and 0x09-0x0D, which in UTF-8 are never
 part of a longer character.
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

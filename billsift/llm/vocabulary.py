@@ -13,6 +13,7 @@ from pathlib import Path
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
+MAX_PAIRS = 1 << 16  # verdicts that a vocabulary remembers
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6  # fixed values of the file format
 
 
@@ -161,7 +162,7 @@ class Vocabulary:
             return True
         known = self._pairs.get((left, right))
         if known is None:
-            if len(self._pairs) >= 1 << 20:
+            if len(self._pairs) >= MAX_PAIRS:
                 self._pairs.clear()
             a, b = self.pieces[left], self.pieces[right]
             if SPACE in a and SPACE in b or len(self.merged_piece(a)) + len(self.merged_piece(b)) > 2:

@@ -11,7 +11,6 @@ columns of the documents go through all stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from billsift.llm import decontaminate, pieces, rules, similar, substrings
 from billsift.llm.tables import kept
@@ -27,11 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substrings.substring_dedup(docs)
-    if "n_chars" in docs.columns:
-        length = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-        cut = cut.withColumn("n_chars", length.otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return substrings.cut_documents(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
