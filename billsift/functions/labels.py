@@ -86,7 +86,8 @@ def _spaced(label: str) -> str:
 def id_pattern(label: str) -> str:
     # Both cases are spelled out: a range takes fewer odd letters than its letters do.
     tail = r"([A-Za-z0-9][A-Za-z0-9\-/]++)"
-    return f"{FLAGS}{_spaced(label)}{_GAP}(?:[:#]{_GAP})?+{tail}"
+    separator = "" if label.endswith("#") else f"(?:[:#]{_GAP})?+"  # "#" is a separator itself
+    return f"{FLAGS}{_spaced(label)}{_GAP}{separator}{tail}"
 
 
 def amount_pattern(label: str) -> str:

@@ -115,8 +115,8 @@ def accuracy_mismatches(joined: DataFrame) -> DataFrame:
     def issue(field: str) -> Column:
         kind = kinds[f"{field}_truth"]
         message = F.concat(
-            F.lit(f"{field}: expected '"), _shown(field, "truth", kind),
-            F.lit("' got '"), _shown(field, "extracted", kind), F.lit("'"),
+            F.lit(f"{field}: truth <"), _shown(field, "truth", kind),
+            F.lit(">, read <"), _shown(field, "extracted", kind), F.lit(">"),
         )
         return F.when(_scoreable(field) & ~_matches(field), message)
 

@@ -4,46 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billsift import schemas
+from billsift.functions.amounts import parse_amount
 from billsift.session import new_path
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
-def load_key() -> Column:
-    """What must be unique in the table: the invoice id.
-
-    Records without an id are all kept. Their key is the file name behind a
-    character no id contains, which also spreads them over all partitions.
-    """
-    return F.coalesce(F.col("invoice_id"), F.concat(F.lit("\x00"), F.col("source_file")))
-
-
 def dedup_first_wins(records: DataFrame) -> DataFrame:
-    """One record per invoice id, the first by file name.
+    """One record per invoice id, the first by file name; all records without an id.
 
-    The rank filter is applied before the shuffle as well (WindowGroupLimit),
+    Records without an id are set apart before the window, so they meet in no
+    group. The rank filter is applied before the shuffle as well (WindowGroupLimit),
     so a key with very many copies sends one row per map task.
     """
-    order = Window.partitionBy("_load_key").orderBy("source_file")
-    return (
-        records.withColumn("_load_key", load_key())
-        .withColumn("_copy", F.row_number().over(order))
-        .filter(F.col("_copy") == 1)
-        .drop("_copy", "_load_key")
-    )
+    order = Window.partitionBy("invoice_id").orderBy("source_file")
+    named = records.filter(F.col("invoice_id").isNotNull()).withColumn("_copy", F.row_number().over(order))
+    firsts = named.filter(F.col("_copy") == 1).drop("_copy")
+    return firsts.unionByName(records.filter(F.col("invoice_id").isNull()))
 
 
 def load_counts(records: DataFrame) -> DataFrame:
     """One row: records inserted, and skipped because their id came earlier."""
-    copies = records.groupBy(load_key().alias("_load_key")).agg(F.count(F.lit(1)).alias("copies"))
+    copies = records.groupBy("invoice_id").agg(F.count(F.lit(1)).alias("copies"))
+    nameless = F.col("invoice_id").isNull()
     return copies.agg(
-        F.count(F.lit(1)).alias("inserted"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("skipped"),
+        F.coalesce(F.sum(F.when(nameless, F.col("copies")).otherwise(1)), F.lit(0)).alias("inserted"),
+        F.coalesce(F.sum(F.when(~nameless, F.col("copies") - 1)), F.lit(0)).alias("skipped"),
     )
 
 
+def _typed(records: DataFrame, field: T.StructField) -> Column:
+    """A column in the table's type; amounts in text are read as printed amounts are."""
+    if isinstance(field.dataType, T.DoubleType) and isinstance(records.schema[field.name].dataType, T.StringType):
+        return parse_amount(F.col(field.name))
+    return F.col(field.name).try_cast(field.dataType)
+
+
 def conform(records: DataFrame) -> DataFrame:
     """The table's columns and types from any frame of records.
 
@@ -53,7 +52,7 @@ def conform(records: DataFrame) -> DataFrame:
     given = set(records.columns)
     columns = []
     for field in schemas.EXTRACTED.fields:
-        value = F.col(field.name).try_cast(field.dataType) if field.name in given else F.lit(None).cast(field.dataType)
+        value = _typed(records, field) if field.name in given else F.lit(None).cast(field.dataType)
         if field.name == "validation_passed":
             value = F.coalesce(value, F.lit(1))
         if field.name == "validation_note":
@@ -106,7 +105,4 @@ def new_records(batch: DataFrame, target: DataFrame) -> DataFrame:
     """
     ids = batch.filter(F.col("invoice_id").isNotNull()).select("invoice_id").distinct()
     known = target.select("invoice_id").join(ids, "invoice_id", "left_semi")
-    firsts = dedup_first_wins(batch).withColumn("_load_key", load_key())
-    return firsts.join(
-        known.select(F.col("invoice_id").alias("_load_key")), "_load_key", "left_anti"
-    ).drop("_load_key")
+    return dedup_first_wins(batch).join(known, "invoice_id", "left_anti").select(*batch.columns)

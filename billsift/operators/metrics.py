@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from billsift.functions.amounts import exact_mean, exact_sum
 from billsift.functions.text import HIGH, LOW, MISSING
 from billsift.operators.extract import OCR
-from billsift.operators.load import load_key
 
 
 def _readable():
@@ -36,7 +35,10 @@ def run_summary(read: DataFrame, notes: str = "SUCCESS") -> DataFrame:
     """The audit row of a full load, apart from its id and times."""
     return read.agg(
         F.count(F.lit(1)).alias("invoices_found"),
-        F.count_distinct(F.when(_readable(), load_key())).alias("invoices_loaded"),
+        (
+            F.count_distinct(F.when(_readable(), F.col("invoice_id")))
+            + F.count_if(_readable() & F.col("invoice_id").isNull())
+        ).alias("invoices_loaded"),
         F.count_if(~_readable()).alias("invoices_failed"),
         _with_confidence(HIGH).alias("n_high_conf"),
         _with_confidence(LOW).alias("n_low_conf"),

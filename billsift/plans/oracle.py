@@ -6,9 +6,11 @@ invoice text, so a fault in a pattern cannot hide in its own check.
 
 from __future__ import annotations
 
-from billsift.functions.text import WHITE_SPACE
-from billsift.operators.extract import NO_TEXT
-from billsift.plans.registry import CUTOFF
+# Spelled out here and not taken from the engine: a wrong constant must not agree with itself.
+_SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WHITE_SPACE = "".join(map(chr, _SPACES))
+NO_TEXT = "ValueError: PDF produced no text even after OCR attempt."
+CUTOFF = "1998-01-01"
 
 _FACTS = """
 totals AS (
@@ -239,7 +241,7 @@ def _issue(field: str) -> str:
     shown = [f"coalesce(CAST({field}_{side} AS VARCHAR), 'nan')" for side in ("truth", "extracted")]
     return (
         f"CASE WHEN {field}_truth IS NOT NULL AND NOT ({_agree(field)}) "
-        f"THEN '{field}: expected ''' || {shown[0]} || ''' got ''' || {shown[1]} || '''' END"
+        f"THEN '{field}: truth <' || {shown[0]} || '>, read <' || {shown[1]} || '>' END"
     )
 
 
@@ -285,6 +287,7 @@ _BLANKS = "'" + WHITE_SPACE + "'"
 _RAW_TOTAL = f"""CASE printed_as WHEN 2 THEN replace({_lakh('total')}, '₹', '') WHEN 5 THEN {_plain('total + 1000')}
   WHEN 6 THEN {_plain('subtotal')} ELSE {_plain('total')} END"""
 _LOADED = f"{_STORED_COLUMNS}, id"
+_AWKWARD = r"""replace(invoice_date, '-', chr(10) || '\",\n' || chr(13)) AS invoice_date"""
 _EXTRACTED = _RECORD_COLUMNS.format(note="validation_note")
 
 ORACLES: dict[str, str] = {
@@ -354,11 +357,16 @@ ORACLES: dict[str, str] = {
     "processed_core_columns": _processed(
         "invoice_id, invoice_date, vendor_name, subtotal, tax_amount, grand_total"
     ),
-    "csv_roundtrip_extracted": _records(_STORED_COLUMNS),
+    "csv_roundtrip_extracted": _records(_STORED_COLUMNS.replace(" invoice_date,", f" {_AWKWARD},")),
+    "ground_truth_csv": _facts(_TRUTH_SELECT),
+    "quarantine_runs": _facts(
+        f"SELECT source_file, '{NO_TEXT}' AS reason, r AS run_id "
+        "FROM sent, (VALUES (1::BIGINT), (2::BIGINT)) runs(r) WHERE NOT readable"
+    ),
     "csv_source_checked": _records(
         "invoice_id, invoice_date, vendor_name, subtotal, tax_amount, grand_total, source_file, validation_passed"
     ),
-    "export_processed": _processed(_LOADED),
+    "export_processed": _processed(_LOADED.replace(" invoice_date,", f" {_AWKWARD},")),
     "source_fallback": _processed(_LOADED),
     "run_log": f"""WITH {_PROCESSED} SELECT (SELECT count(*) FROM sent) AS invoices_found,
         (SELECT count(*) FROM processed) AS invoices_loaded,
@@ -366,7 +374,7 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (WHERE overall_confidence = 'HIGH') AS n_high_conf,
         count(*) FILTER (WHERE overall_confidence = 'LOW') AS n_low_conf,
         count(*) FILTER (WHERE overall_confidence = 'MISSING') AS n_missing_conf,
-        'SUCCESS' AS notes FROM records""",
+        'SUCCESS' AS notes, ids.id FROM records, (VALUES (1::BIGINT), (2::BIGINT)) ids(id) GROUP BY ids.id""",
     "extraction_summary": f"""WITH {_RECORDS} SELECT count(*) AS total,
         count(*) FILTER (WHERE overall_confidence = 'HIGH') AS n_high,
         count(*) FILTER (WHERE overall_confidence = 'LOW') AS n_low,

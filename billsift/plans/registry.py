@@ -200,11 +200,11 @@ def load_full_refresh(spark, sf_dir):
 
 
 def load_incremental(spark, sf_dir):
-    """Invoices of the years before the cutoff first, then all documents."""
+    """Into a table that is not there yet: the years before the cutoff, then all documents."""
     everything = record_table(spark, sf_dir)
     early = everything.filter(parse_invoice_date(F.col("invoice_date")) < F.lit(CUTOFF).cast("date"))
     path = new_path(spark, "incremental")
-    tables.load_full_refresh(early, path)
+    tables.load_incremental(early, path)
     return tables.load_incremental(everything, path).select("id", "invoice_id", "source_file")
 
 
@@ -218,10 +218,28 @@ def processed_core_columns(spark, sf_dir):
 
 def csv_roundtrip_extracted(spark, sf_dir):
     path = new_path(spark, "extracted-csv")
-    csv_files.write_csv(record_table(spark, sf_dir), path)
+    csv_files.write_csv(_awkward(record_table(spark, sf_dir)), path)
     return csv_files.read_records_csv(spark, path)
 
 
+def _awkward(records: DataFrame) -> DataFrame:
+    """Dates over three lines, with a backslash, a quote and a comma in between."""
+    return records.withColumn("invoice_date", F.replace("invoice_date", F.lit("-"), F.lit('\n\\",\\n\r')))
+
+
+def ground_truth_csv(spark, sf_dir):
+    path = new_path(spark, "truth-csv")
+    csv_files.write_ground_truth_csv(truth_table(spark, sf_dir), path)
+    return csv_files.read_ground_truth_csv(spark, path)
+
+
+def quarantine_runs(spark, sf_dir):
+    """A full run's failures, then those of an incremental run over the same documents."""
+    path, failed = new_path(spark, "quarantine"), extract.failures(read_table(spark, sf_dir))
+    tables.write_failures(failed, path, run_id=1)
+    return tables.write_failures(failed, path, run_id=2, incremental=True)
+
+
 def csv_source_checked(spark, sf_dir):
     path = new_path(spark, "checked-csv")
     csv_files.write_csv(record_table(spark, sf_dir), path)
@@ -232,7 +250,7 @@ def csv_source_checked(spark, sf_dir):
 
 def export_processed(spark, sf_dir):
     path = new_path(spark, "processed-csv")
-    csv_files.write_csv(processed_table(spark, sf_dir), path)
+    csv_files.write_csv(_awkward(processed_table(spark, sf_dir)), path)
     return _without_time(csv_files.read_records_csv(spark, path))
 
 
@@ -243,7 +261,10 @@ def source_fallback(spark, sf_dir):
 
 
 def run_log(spark, sf_dir):
-    return metrics.run_summary(read_table(spark, sf_dir))
+    """The log after two runs, without their times."""
+    path, entry = new_path(spark, "run-log"), metrics.run_summary(read_table(spark, sf_dir)).first().asDict()
+    tables.append_run_log(spark, path, entry)
+    return tables.append_run_log(spark, path, entry).drop("run_at", "duration_seconds")
 
 
 # --- analytics -------------------------------------------------------------------
@@ -327,6 +348,8 @@ QUERIES: dict[str, Query] = {
     "processed_scan": processed_scan,
     "processed_core_columns": processed_core_columns,
     "csv_roundtrip_extracted": csv_roundtrip_extracted,
+    "ground_truth_csv": ground_truth_csv,
+    "quarantine_runs": quarantine_runs,
     "csv_source_checked": csv_source_checked,
     "export_processed": export_processed,
     "source_fallback": source_fallback,

@@ -41,30 +41,14 @@ def run(documents: DataFrame, store: Store, incremental: bool = False) -> DataFr
     """
     started, clock = datetime.now(timezone.utc), time.perf_counter()
     spark = documents.sparkSession
+    run_id = tables.next_run_id(spark, store.run_log)
     read = stage(extract.read_documents(documents))
-    found = metrics.extraction_summary(read).first()
-    tables.write_failures(extract.failures(read), store.failed)
-    loaded, notes = 0, "No readable documents."
-    if found["total"]:
-        good = extract.records(read)
-        if incremental:
-            before = tables.read_processed(spark, store.processed).count()
-            loaded = tables.load_incremental(good, store.processed).count() - before
-        else:
-            loaded = tables.load_full_refresh(good, store.processed).count()
-        notes = "SUCCESS"
-    return tables.append_run_log(
-        spark,
-        store.run_log,
-        {
-            "run_at": started,
-            "invoices_found": found["total"] + found["n_failed"],
-            "invoices_loaded": loaded,
-            "invoices_failed": found["n_failed"],
-            "n_high_conf": found["n_high"],
-            "n_low_conf": found["n_low"],
-            "n_missing_conf": found["n_missing"],
-            "duration_seconds": round(time.perf_counter() - clock, 3),
-            "notes": notes,
-        },
-    )
+    entry = metrics.run_summary(read).first().asDict()
+    tables.write_failures(extract.failures(read), store.failed, run_id, incremental)
+    entry["invoices_loaded"] = 0
+    if entry["invoices_found"] > entry["invoices_failed"]:
+        entry["invoices_loaded"] = tables.load_batch(extract.records(read), store.processed, incremental)
+    else:
+        entry["notes"] = "No readable documents."
+    times = {"id": run_id, "run_at": started, "duration_seconds": round(time.perf_counter() - clock, 3)}
+    return tables.append_run_log(spark, store.run_log, entry | times)

@@ -42,7 +42,7 @@ PROCESSED = T.StructType(
 )
 # An extraction's output: records, and failures by their reason.
 READ = T.StructType([*EXTRACTED.fields, T.StructField("reason", _STRING, True)])
-FAILED = _schema(source_file=_STRING, reason=_STRING)
+FAILED = _schema(source_file=_STRING, reason=_STRING, run_id=_LONG)
 GROUND_TRUTH = _schema(
     invoice_id=_STRING,
     invoice_date=_STRING,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,8 @@ from billsift import schemas
 from billsift.functions.amounts import plain_number
 
 # Quotes are doubled and blanks are kept. An empty text is written like NULL and
-# read back as NULL.
+# read back as NULL. Line breaks inside values are written as \n and \r, and a
+# backslash as two, so that every record is one line and files can be split.
 _FORMAT = {
     "header": True,
     "quote": '"',
@@ -23,15 +24,26 @@ _WRITE = {**_FORMAT, "emptyValue": ""}
 _READ = {**_FORMAT, "enforceSchema": False, "mode": "FAILFAST"}
 
 
+def _escaped(text: Column) -> Column:
+    for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    breaks = lambda part: F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    parts = F.transform(F.split(text, r"\\\\"), breaks)
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(parts, "\\")).otherwise(text)
+
+
 def write_csv(frame: DataFrame, path: str, single_file: bool = False) -> None:
     """Write with a header, replacing what is there.
 
     Files are as many as partitions. ``single_file`` is for small results that
     a person wants as one file; it moves all rows to one task.
     """
-    columns = [
-        plain_number(F.col(name)).alias(name) if kind == "double" else F.col(name) for name, kind in frame.dtypes
-    ]
+    kinds = {"double": plain_number, "string": _escaped}
+    columns = [kinds[kind](F.col(name)).alias(name) if kind in kinds else F.col(name) for name, kind in frame.dtypes]
     out = frame.select(*columns)
     (out.coalesce(1) if single_file else out).write.mode("overwrite").options(**_WRITE).csv(path)
 
@@ -44,23 +56,29 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 def require_columns(columns: list[str], required: list[str]) -> None:
     missing = sorted(set(required) - set(columns))
     if missing:
-        raise ValueError(f"CSV is missing expected columns: {', '.join(missing)}")
+        raise ValueError(f"no such columns in the file: {', '.join(missing)}")
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, required: list[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType, required: list[str] | None = None, foreign: bool = False
 ) -> DataFrame:
     """Read by column name with fixed types, after a check of the header.
 
     Columns may come in any order; unknown ones are read as text. Every file's
     header must equal the first one's, or the read fails. A missing path fails
-    as well. Nothing is written before the check.
+    as well. Nothing is written before the check. ``foreign`` files come from other
+    writers: backslashes mean nothing in them and values may hold line breaks, for
+    which such files are read whole, one task each.
     """
     header = header_of(spark, path)
     require_columns(header, required if required is not None else schema.fieldNames())
     kinds = {field.name: field.dataType for field in schema.fields}
     found = T.StructType([T.StructField(name, kinds.get(name, T.StringType()), True) for name in header])
-    return spark.read.options(**_READ).schema(found).csv(path)
+    rows = spark.read.options(**_READ, multiLine=foreign).schema(found).csv(path)
+    if foreign:
+        return rows
+    texts = {f.name: _unescaped(F.col(f.name)) for f in found.fields if isinstance(f.dataType, T.StringType)}
+    return rows.withColumns(texts)
 
 
 def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -68,5 +86,10 @@ def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.PROCESSED, schemas.REQUIRED_COLUMNS)
 
 
+def write_ground_truth_csv(truth: DataFrame, path: str) -> None:
+    """The printed values of a batch of invoices, as the accuracy report reads them."""
+    write_csv(truth.select(*schemas.GROUND_TRUTH.fieldNames()), path)
+
+
 def read_ground_truth_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.GROUND_TRUTH)

@@ -15,8 +15,28 @@ def read_document_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DOCUMENTS).parquet(path)
 
 
+def _empty_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of text files of zero bytes, which Spark's readers pass over."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names, entries = [], system.listStatusIterator(path)
+    while entries.hasNext():
+        entry = entries.next()
+        if entry.getLen() == 0 and entry.isFile():
+            names.append(entry.getPath().getName())
+    return [n for n in names if n.endswith(".txt") and n[0] not in "._"]
+
+
 def _text_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per text file, or none if the folder is missing or has none."""
+    """One row per text file, empty ones included, or none if there is no folder or file."""
+    found = _filled_files(spark, folder)
+    empty = [(name, "") for name in _empty_files(spark, folder)]
+    return found.union(spark.createDataFrame(empty, "name string, text string")) if empty else found
+
+
+def _filled_files(spark: SparkSession, folder: str) -> DataFrame:
     try:
         files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     except AnalysisException as error:
@@ -33,9 +53,9 @@ def read_text_folder(spark: SparkSession, folder: str, ocr_folder: str | None =
     or empty folder gives no documents, not an error. The order of files
     matters only to the load, which sorts by ``source_file`` itself.
 
-    Spark does not list files of zero bytes. Such a document still appears if
-    it has recognised text; a converter that wants blank documents counted
-    should end every file with a line feed.
+    Files of zero bytes are documents too: without recognised text they end in
+    quarantine like all blank ones. Their names come from the file system's
+    listing, which the driver reads in any case; only empty files are kept of it.
     """
     documents = _text_files(spark, folder)
     if ocr_folder is None:

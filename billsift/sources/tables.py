@@ -21,6 +21,16 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PROCESSED).parquet(path)
 
 
+def read_processed_or_none(spark: SparkSession, path: str) -> DataFrame:
+    """The table, or no rows of its schema if nothing has been loaded yet."""
+    try:
+        return read_processed(spark, path)
+    except AnalysisException as error:
+        if not _path_missing(error):
+            raise
+    return spark.createDataFrame([], schemas.PROCESSED)
+
+
 def core_columns(processed: DataFrame) -> DataFrame:
     """What the accuracy report needs; the file scan reads no other column."""
     return processed.select(*_CORE_COLUMNS)
@@ -49,41 +59,56 @@ def _stamp(rows: DataFrame) -> DataFrame:
 
 def load_full_refresh(records: DataFrame, path: str) -> DataFrame:
     """Replace the table by the first record of every id, numbered by file name."""
-    firsts = load.conform(load.dedup_first_wins(records))
-    _stamp(load.with_surrogate_ids(firsts)).write.mode("overwrite").parquet(path)
+    load_batch(records, path, incremental=False)
     return read_processed(records.sparkSession, path)
 
 
 def load_incremental(batch: DataFrame, path: str) -> DataFrame:
     """Append the records whose id the table does not hold yet.
 
-    Running a batch again adds no id twice. The batch is read more than once:
-    pass a written table, not an extraction that would run again.
+    The first batch makes the table. Running a batch again adds no id twice. The
+    batch is read more than once: pass a written table, not an extraction that
+    would run again.
     """
-    spark = batch.sparkSession
-    target = read_processed(spark, path)
-    highest = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    fresh = load.conform(load.new_records(batch, target))
-    _stamp(load.with_surrogate_ids(fresh, start=highest)).write.mode("append").parquet(path)
-    return read_processed(spark, path)
+    load_batch(batch, path, incremental=True)
+    return read_processed(batch.sparkSession, path)
 
 
-def write_failures(failures: DataFrame, path: str) -> bool:
-    """Write the quarantine if there is anything to write."""
-    if failures.isEmpty():
-        return False
-    failures.write.mode("overwrite").parquet(path)
-    return True
+def load_batch(batch: DataFrame, path: str, incremental: bool) -> int:
+    """Load a batch into the table and return how many of its records that kept."""
+    start, mode, fresh = 0, "overwrite", load.dedup_first_wins(batch)
+    if incremental:
+        target = read_processed_or_none(batch.sparkSession, path)
+        start = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        mode, fresh = "append", load.new_records(batch, target)
+    numbered = load.with_surrogate_ids(load.conform(fresh), start=start)
+    _stamp(numbered).write.mode(mode).parquet(path)
+    return numbered.count()  # of the written, ordered rows
 
 
-def append_run_log(spark: SparkSession, path: str, entry: dict) -> DataFrame:
-    """Add one row to the log of runs and return the log."""
+def write_failures(failures: DataFrame, path: str, run_id: int, incremental: bool = False) -> DataFrame:
+    """Set a run's failures aside and return the quarantine.
+
+    A full run replaces what is there, also by nothing; an incremental one adds
+    its failures, one row per file and run.
+    """
+    rows = failures.select("source_file", "reason", F.lit(run_id).cast("bigint").alias("run_id"))
+    rows.write.mode("append" if incremental else "overwrite").parquet(path)
+    return failures.sparkSession.read.schema(schemas.FAILED).parquet(path)
+
+
+def next_run_id(spark: SparkSession, path: str) -> int:
+    """One more than the highest id in the log of runs."""
     try:
-        previous = spark.read.schema(schemas.RUN_LOG).parquet(path).agg(F.max("id")).first()[0] or 0
+        return (spark.read.schema(schemas.RUN_LOG).parquet(path).agg(F.max("id")).first()[0] or 0) + 1
     except AnalysisException as error:
         if not _path_missing(error):
             raise
-        previous = 0
-    row = {**dict.fromkeys(schemas.RUN_LOG.fieldNames()), **entry, "id": previous + 1}
+    return 1
+
+
+def append_run_log(spark: SparkSession, path: str, entry: dict) -> DataFrame:
+    """Add one row to the log of runs and return the log."""
+    row = {**dict.fromkeys(schemas.RUN_LOG.fieldNames()), "id": next_run_id(spark, path), **entry}
     spark.createDataFrame([row], schemas.RUN_LOG).write.mode("append").parquet(path)
     return spark.read.schema(schemas.RUN_LOG).parquet(path)

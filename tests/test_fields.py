@@ -54,7 +54,11 @@ def test_invoice_id(spark):
             ("Ref. No: R-77", "R-77", "LOW"),
             ("Ref No # R-78", "R-78", "LOW"),
             ("Bill No: B-1\nInvoice No: I-1", "I-1", "HIGH"),
-            ("This document has no invoice number at all.", None, "MISSING"),
+            ("Goods as ordered, paid in cash", None, "MISSING"),
+            # the sign of this label is its separator: no other may follow
+            ("Invoice #: TXN/1", None, "MISSING"),
+            ("Invoice ## 77A", None, "MISSING"),
+            ("Invoice #: TXN/1\nBill No: B-9", "B-9", "LOW"),
             # the label has no word end, and its parts may be on two lines
             ("Invoice Note ABC", "te", "HIGH"),
             ("TAX INVOICE\nNotes: paid", "tes", "HIGH"),

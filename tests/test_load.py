@@ -101,9 +101,32 @@ def test_run_log_appends(spark):
     assert [(r.id, r.invoices_found) for r in log.orderBy("id").collect()] == [(1, 3), (2, 4)]
 
 
-def test_failures_written_only_if_any(spark):
+def test_quarantine_is_kept_per_run(spark):
     path = new_path(spark, "failed")
-    failed = spark.createDataFrame([("a.pdf", "no text")], schemas.FAILED)
-    assert not tables.write_failures(failed.filter(F.lit(False)), path)
-    assert tables.write_failures(failed, path)
-    assert spark.read.parquet(path).count() == 1
+    failed = spark.createDataFrame([("a.pdf", "no text")], "source_file string, reason string")
+    rows = lambda frame: sorted(map(tuple, frame.collect()))
+    assert rows(tables.write_failures(failed, path, run_id=1)) == [("a.pdf", "no text", 1)]
+    both = tables.write_failures(failed, path, run_id=2, incremental=True)
+    assert rows(both) == [("a.pdf", "no text", 1), ("a.pdf", "no text", 2)]
+    assert rows(tables.write_failures(failed.limit(0), path, run_id=3, incremental=True)) == rows(both)
+    assert rows(tables.write_failures(failed.limit(0), path, run_id=4)) == []
+
+
+def test_records_without_id_or_file_are_all_kept(spark):
+    frame = records(spark, [(None, None, 1.0), (None, None, 1.0), (None, "a.pdf", 2.0), ("A", None, 3.0), ("A", "b.pdf", 4.0)])
+    assert load.dedup_first_wins(frame).count() == 4
+    counts = load.load_counts(frame).first()
+    assert (counts.inserted, counts.skipped) == (4, 1)
+
+
+def test_first_batch_makes_the_table(spark):
+    path = new_path(spark, "table")
+    assert tables.load_batch(records(spark, [("A", "1.pdf", 1.0), (None, "2.pdf", 2.0)]), path, incremental=True) == 2
+    assert tables.load_batch(records(spark, [("A", "3.pdf", 1.0), ("B", "4.pdf", 2.0)]), path, incremental=True) == 1
+    table = tables.read_processed(spark, path).orderBy("id").collect()
+    assert [(r.id, r.invoice_id, r.source_file) for r in table] == [(1, "A", "1.pdf"), (2, None, "2.pdf"), (3, "B", "4.pdf")]
+
+
+def test_amounts_in_text_are_read_like_printed_ones(spark):
+    frame = spark.createDataFrame([("1,23,456.78",), ("12d",), (None,)], "grand_total string")
+    assert [r.grand_total for r in load.conform(frame).collect()] == [123456.78, None, None]

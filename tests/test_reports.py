@@ -53,8 +53,8 @@ def test_scores(spark):
 
 def test_mismatches(spark):
     issues = {r.source_file: r.issues for r in accuracy.accuracy_mismatches(joined(spark, TRUTH, EXTRACTED)).collect()}
-    assert issues["0.pdf"] == "tax_amount: expected '18.0' got '19.01'"
-    assert issues["1.pdf"] == "vendor_name: expected 'Beta' got 'nan'; subtotal: expected '100.0' got 'nan'"
+    assert issues["0.pdf"] == "tax_amount: truth <18.0>, read <19.01>"
+    assert issues["1.pdf"] == "vendor_name: truth <Beta>, read <nan>; subtotal: truth <100.0>, read <nan>"
     assert set(issues) == {"0.pdf", "1.pdf", "2.pdf", "3.pdf", "4.pdf"}
 
 

@@ -43,7 +43,7 @@ def test_full_run(spark, store):
         (3, "e.pdf", None, "text_layer", 1),
     ]
     failed = spark.read.parquet(store.failed).collect()
-    assert [(r.source_file, r.reason) for r in failed] == [("d.pdf", extract.NO_TEXT)]
+    assert [(r.source_file, r.reason, r.run_id) for r in failed] == [("d.pdf", extract.NO_TEXT, 1)]
 
 
 def test_incremental_run_after_full_run(spark, store):
@@ -52,6 +52,21 @@ def test_incremental_run_after_full_run(spark, store):
     assert [(r.id, r.invoices_found, r.invoices_loaded) for r in log] == [(1, 1, 1), (2, 5, 2)]
 
 
+def test_incremental_runs_from_nothing(spark, store):
+    run(batch(spark, ROWS[:1]), store, incremental=True)
+    log = run(batch(spark, ROWS), store, incremental=True).orderBy("id").collect()
+    assert [(r.id, r.invoices_found, r.invoices_loaded, r.invoices_failed) for r in log] == [(1, 1, 1, 0), (2, 5, 2, 1)]
+
+
+def test_quarantine_over_runs(spark, store):
+    failed = lambda: sorted((r.source_file, r.run_id) for r in spark.read.parquet(store.failed).collect())
+    run(batch(spark, ROWS), store)
+    run(batch(spark, [("x.pdf", "", None)]), store, incremental=True)
+    assert failed() == [("d.pdf", 1), ("x.pdf", 2)]
+    run(batch(spark, ROWS[:1]), store)
+    assert failed() == []
+
+
 def test_run_without_readable_documents_loads_nothing(spark, store):
     log = run(batch(spark, ROWS[3:4]), store).first()
     assert (log.invoices_found, log.invoices_loaded, log.invoices_failed) == (1, 0, 1)

@@ -79,7 +79,7 @@ def test_csv_single_file(spark):
 def test_csv_missing_columns_are_named_in_order(spark):
     path = new_path(spark, "csv")
     csv_files.write_csv(awkward_records(spark).drop("vendor_name", "source_file", "subtotal"), path)
-    with pytest.raises(ValueError, match="missing expected columns: source_file, subtotal, vendor_name"):
+    with pytest.raises(ValueError, match="no such columns in the file: source_file, subtotal, vendor_name"):
         csv_files.read_records_csv(spark, path)
 
 
@@ -128,3 +128,30 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(FakeSession("yarn", {}))
     assert shared_root(spark) == shared_root(spark)
+
+
+def test_files_of_zero_bytes_are_documents(spark, tmp_path):
+    for name, text in (("a.txt", ""), ("b.txt", "words"), ("c.txt", ""), ("_skip.txt", ""), ("d.pdf", "")):
+        (tmp_path / name).write_text(text)
+    (tmp_path / "ocr").mkdir()
+    (tmp_path / "ocr" / "c.txt").write_text("recognised")
+    found = documents.read_text_folder(spark, str(tmp_path), str(tmp_path / "ocr")).collect()
+    assert sorted((r.source_file, r.text, r.ocr_text) for r in found) == [
+        ("a.txt", "", None), ("b.txt", "words", None), ("c.txt", "", "recognised"),
+    ]
+
+
+def test_csv_keeps_any_text(spark):
+    path = new_path(spark, "any")
+    hard = ["a\nb", "a\r\nb\\", "\\n", "\\\n\\\\n", 'say "x", y', " blank ", "\\", "plain", None]
+    frame = spark.createDataFrame([(str(i), t) for i, t in enumerate(hard)], "invoice_id string, vendor_name string")
+    csv_files.write_csv(frame, path)
+    got = csv_files.read_csv(spark, path, frame.schema).orderBy("invoice_id").collect()
+    assert [r.vendor_name for r in got] == hard
+
+
+def test_csv_of_other_writers(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('invoice_id,vendor_name\n1,"two\nlines"\n2,C:\\new\n')
+    schema = spark.createDataFrame([], "invoice_id string, vendor_name string").schema
+    got = csv_files.read_csv(spark, str(tmp_path / "x.csv"), schema, foreign=True).orderBy("invoice_id").collect()
+    assert [r.vendor_name for r in got] == ["two\nlines", "C:\\new"]
