@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.texts import mix
 from billsift.llm.vocabulary import BPE, SPACE, Vocabulary, vocabulary_of
 
-MAX_WORDS = 1 << 17  # encodings of words that a worker remembers
-PAIR_BITS = 20
-ROWS = 2000  # texts encoded together
+MAX_WORDS = 1 << 16  # encodings of words that a worker remembers
+PAIR_BITS = 19
+ROWS = 1000  # texts encoded together
 _WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN = -2
@@ -229,6 +229,7 @@ def encode_documents(documents: DataFrame, model: bytes) -> DataFrame:
                 same = pa.array([encoder.decode(i) == t for i, t in zip(ids, texts, strict=True)], pa.bool_())
                 columns = [part.column(c) for c in names] + [lists, pa.array(sizes, pa.int64()), same]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "ids", "n_pieces", "round_trip"])
+        encoder.words.clear()  # a worker that goes on to other work keeps its tables only
 
     kept = documents.select(*names)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)

@@ -15,6 +15,7 @@ from billsift.llm.quality import op6_quality_classifier
 from billsift.llm.rules import op8_quality_rules
 from billsift.llm.similar import op7_ngram_jaccard_join
 from billsift.llm.substrings import op4_substring_dedup
+from billsift.llm.tables import in_small_batches
 from billsift.llm.token_counts import op2_token_counts
 from billsift.llm.toxicity import op10_toxicity
 
@@ -22,10 +23,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def importable(query: Query) -> Query:
-    """Workers of a local session started in another folder find the package too."""
+    """A query in small batches; workers of a session started in another folder find the package."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        in_small_batches(spark)
         return query(spark, sf_dir)
 
     return run

@@ -33,25 +33,40 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+class _Powers:
+    """Powers of the base of byte polynomials and of its inverse, shared by all seeds."""
+
+    BASE = 0x8A4B5C6D7E8F9A0B
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > SLAB_BYTES + 1:  # a very long text has its own, which go with it
+            return self._made(n)
+        if len(self.up) < n:
+            self.up, self.down = self._made(SLAB_BYTES + 1)
+        return self.up, self.down
+
+    def _made(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        both = [np.full(n, b, np.uint64) for b in (self.BASE, pow(self.BASE, -1, 1 << 64))]
+        for powers in both:
+            powers[0] = 1
+            np.multiply.accumulate(powers, out=powers)
+        return both[0], both[1]
+
+
+_POWERS = _Powers()
+
+
 class _Polynomial:
-    """Byte polynomials modulo 2**64; a seed fixes byte values and base."""
+    """Byte values, a salt and a base for windows of words; a seed fixes them."""
 
     def __init__(self, seed: int):
         random = np.random.default_rng(seed)
         self.values = random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.base = int(random.integers(1, 2**61)) * 8 + 3
-        self.inverse = pow(self.base, -1, 1 << 64)
         self.salt = np.uint64(random.integers(1, 2**63))
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, SLAB_BYTES + 1)
-            self.up, self.down = (np.full(size, b, np.uint64) for b in (self.base, self.inverse))
-            self.up[0] = self.down[0] = 1
-            np.multiply.accumulate(self.up, out=self.up)
-            np.multiply.accumulate(self.down, out=self.down)
-        return self.up, self.down
 
 
 _POLYNOMIALS: dict[int, _Polynomial] = {}
@@ -101,7 +116,7 @@ class Slab:
     def hashes(self, first: np.ndarray, last: np.ndarray, seed: int = 1, lower: bool = False) -> np.ndarray:
         """64-bit hashes of byte spans; ``lower`` takes A-Z as a-z."""
         poly = _polynomial(seed)
-        up, down = poly.powers(len(self.data) + 1)
+        up, down = _POWERS.first(len(self.data) + 1)
         values = poly.values[_LOWER] if lower else poly.values
         sums = np.empty(len(self.data) + 1, np.uint64)
         sums[0] = 0

@@ -10,10 +10,12 @@ columns of the documents go through all stages.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from billsift.llm import decontaminate, pieces, rules, similar, substrings
-from billsift.llm.tables import kept
+from billsift.llm.tables import in_small_batches, kept
 from billsift.llm.vocabulary import Vocabulary
 
 
@@ -37,12 +39,21 @@ def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return pieces.encode_documents(docs, Vocabulary.load(pieces.MODEL_PATH).content)
 
 
+def _small_batches(stage):
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        in_small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_duplicates", near_duplicates),
-    ("repeated_substrings", repeated_substrings),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("sentencepiece_encoding", sentencepiece_encoding),
+    ("quality_rules", _small_batches(quality_rules)),
+    ("near_duplicates", _small_batches(near_duplicates)),
+    ("repeated_substrings", _small_batches(repeated_substrings)),
+    ("benchmark_decontamination", _small_batches(benchmark_decontamination)),
+    ("sentencepiece_encoding", _small_batches(sentencepiece_encoding)),
 ]
 
 #: An isolation forest and a tokenizer have no SQL; tests compare with brute force.
