@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.html import op5_html_extraction
+from billsift.llm.oracle import ORACLES
 from billsift.llm.pieces import op9_sentencepiece
 from billsift.llm.quality import op6_quality_classifier
 from billsift.llm.rules import op8_quality_rules
@@ -19,6 +20,8 @@ from billsift.llm.tables import in_small_batches
 from billsift.llm.token_counts import op2_token_counts
 from billsift.llm.toxicity import op10_toxicity
 
+__all__ = ["ORACLES", "QUERIES", "importable"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -48,5 +51,3 @@ QUERIES: dict[str, Query] = {
         "op10_toxicity": op10_toxicity,
     }.items()
 }
-
-ORACLES: dict[str, str] = {}
