@@ -6,6 +6,8 @@ large share of the rows costs one row per map task.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from billsift.functions.dates import parse_invoice_date
 
 
 def with_invoice_day(processed: DataFrame) -> DataFrame:
+    """The table with ``invoice_dt``; loaded tables have it and are not parsed again."""
+    if "invoice_dt" in processed.columns:
+        return processed
     return processed.withColumn("invoice_dt", parse_invoice_date(F.col("invoice_date")))
 
 
@@ -75,17 +80,24 @@ def review_queue(
     confidence: str | None = None,
     method: str | None = None,
     vendor: str | None = None,
-    invoice_date: str | None = None,
+    since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
-    """Rows that match all given conditions; each is pushed to the file scan."""
+    """Rows that match all given conditions; each is pushed to the file scan.
+
+    Days are those of ``invoice_dt``, both included, however the date was printed.
+    """
     wanted = {
         "validation_passed": passed,
         "overall_confidence": confidence,
         "extraction_method": method,
         "vendor_name": vendor,
-        "invoice_date": invoice_date,
     }
     for column, value in wanted.items():
         if value is not None:
             processed = processed.filter(F.col(column) == value)
+    if since is not None:
+        processed = processed.filter(F.col("invoice_dt") >= F.lit(since))
+    if until is not None:
+        processed = processed.filter(F.col("invoice_dt") <= F.lit(until))
     return processed

@@ -286,7 +286,7 @@ def _top_vendors(count: int) -> str:
 _BLANKS = "'" + WHITE_SPACE + "'"
 _RAW_TOTAL = f"""CASE printed_as WHEN 2 THEN replace({_lakh('total')}, '₹', '') WHEN 5 THEN {_plain('total + 1000')}
   WHEN 6 THEN {_plain('subtotal')} ELSE {_plain('total')} END"""
-_LOADED = f"{_STORED_COLUMNS}, id"
+_LOADED = f"{_STORED_COLUMNS}, id, strftime(issued, '%Y-%m-%d') AS invoice_dt"
 _AWKWARD = r"""replace(invoice_date, '-', chr(10) || '\",\n' || chr(13)) AS invoice_date"""
 _EXTRACTED = _RECORD_COLUMNS.format(note="validation_note")
 
@@ -396,12 +396,16 @@ ORACLES: dict[str, str] = {
         "WHERE issued IS NOT NULL GROUP BY issued ORDER BY issued",
     ),
     "explorer_view": _processed(
-        f"{_LOADED}, strftime(issued, '%Y-%m-%d') AS invoice_dt",
+        _LOADED,
         "ORDER BY issued DESC NULLS LAST, invoice_id, source_file",
     ),
     "review_queue": _processed(
         "invoice_id, vendor_name, grand_total, validation_note, source_file", "WHERE validation_passed = 0"
     ),
+    "review_queue_by_date": _processed(
+        "invoice_id, strftime(issued, '%Y-%m-%d') AS invoice_dt, grand_total, source_file",
+        "WHERE validation_passed = 1 AND issued BETWEEN DATE '1995-04-01' AND DATE '1995-06-30'",
+    ),
     "review_queue_scanned": _processed(
         "invoice_id, vendor_name, grand_total, source_file",
         "WHERE overall_confidence = 'HIGH' AND extraction_method = 'ocr'",

@@ -9,6 +9,7 @@ user of the engine would have them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _without_time(processed: DataFrame) -> DataFrame:
-    return processed.drop("loaded_at")
+    return _day_as_text(processed.drop("loaded_at"))
 
 
 def _day_as_text(frame: DataFrame) -> DataFrame:
@@ -279,7 +280,7 @@ def spend_timeline(spark, sf_dir):
 
 
 def explorer_view(spark, sf_dir):
-    return _day_as_text(_without_time(analytics.explorer_view(processed_table(spark, sf_dir))))
+    return _without_time(analytics.explorer_view(processed_table(spark, sf_dir)))
 
 
 def review_queue(spark, sf_dir):
@@ -288,6 +289,14 @@ def review_queue(spark, sf_dir):
     )
 
 
+def review_queue_by_date(spark, sf_dir):
+    """What a quarter's invoices leave to check, whatever form their dates have."""
+    queue = analytics.review_queue(
+        processed_table(spark, sf_dir), passed=1, since=date(1995, 4, 1), until=date(1995, 6, 30)
+    )
+    return _day_as_text(queue.select("invoice_id", "invoice_dt", "grand_total", "source_file"))
+
+
 def review_queue_scanned(spark, sf_dir):
     return analytics.review_queue(processed_table(spark, sf_dir), confidence="HIGH", method="ocr").select(
         "invoice_id", "vendor_name", "grand_total", "source_file"
@@ -363,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "spend_timeline": spend_timeline,
     "explorer_view": explorer_view,
     "review_queue": review_queue,
+    "review_queue_by_date": review_queue_by_date,
     "review_queue_scanned": review_queue_scanned,
     "accuracy_join": _joined,
     "match_rate": _on_joined(accuracy.match_rate),

@@ -38,7 +38,12 @@ EXTRACTED = _schema(
 )
 RECORD_COLUMNS = EXTRACTED.fieldNames()
 PROCESSED = T.StructType(
-    [T.StructField("id", _LONG, True), *EXTRACTED.fields, T.StructField("loaded_at", T.TimestampType(), True)]
+    [
+        T.StructField("id", _LONG, True),
+        *EXTRACTED.fields,
+        T.StructField("invoice_dt", T.DateType(), True),  # the printed date, read once at load
+        T.StructField("loaded_at", T.TimestampType(), True),
+    ]
 )
 # An extraction's output: records, and failures by their reason.
 READ = T.StructType([*EXTRACTED.fields, T.StructField("reason", _STRING, True)])

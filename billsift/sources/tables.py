@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from billsift import schemas
+from billsift.functions.dates import parse_invoice_date
 from billsift.operators import load
 from billsift.sources.csv_files import read_records_csv
 
@@ -54,7 +55,8 @@ def processed_or_fallback(spark: SparkSession, table: str, csv_path: str) -> Dat
 
 
 def _stamp(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("loaded_at", F.current_timestamp()).select(*schemas.PROCESSED.fieldNames())
+    dated = rows.withColumn("invoice_dt", parse_invoice_date(F.col("invoice_date")))
+    return dated.withColumn("loaded_at", F.current_timestamp()).select(*schemas.PROCESSED.fieldNames())
 
 
 def load_full_refresh(records: DataFrame, path: str) -> DataFrame:

@@ -82,3 +82,12 @@ def test_incremental_load_cuts_the_target_down_first(spark, processed):
     assert "LeftSemi" in plan and "LeftAnti" in plan
     schemas_read = re.findall(r"ReadSchema: (.*)", plan)
     assert "struct<invoice_id:string>" in schemas_read
+
+
+def test_days_are_read_from_the_table_and_pushed_down(processed):
+    from datetime import date
+
+    plan = plan_of(analytics.review_queue(processed, since=date(2024, 3, 1), until=date(2024, 3, 31)))
+    assert "invoice_dt" in plan[plan.index("PushedFilters") :]
+    for frame in (analytics.spend_timeline(processed), analytics.explorer_view(processed)):
+        assert "gettimestamp" not in plan_of(frame).lower() and "to_date" not in plan_of(frame).lower()
