@@ -61,17 +61,18 @@ def conform(records: DataFrame) -> DataFrame:
     return records.select(*columns)
 
 
-def with_surrogate_ids(rows: DataFrame, start: int = 0) -> DataFrame:
+def with_surrogate_ids(rows: DataFrame, start: int = 0, path: str | None = None) -> DataFrame:
     """Number the rows ``start + 1, start + 2, …`` by file name.
 
     The rows are range-partitioned, sorted and written once to the shared
     folder with their partition and their position in it. The id is then the
     position plus the number of rows in earlier partitions. Nothing passes
     through one task except one count per partition. The rows are written
-    because a second evaluation could choose other range bounds.
+    because a second evaluation could choose other range bounds; who gives the
+    ``path`` may delete it when done.
     """
     spark = rows.sparkSession
-    path = new_path(spark, "ordered")
+    path = path or new_path(spark, "ordered")
     (
         rows.repartitionByRange("source_file")
         .sortWithinPartitions("source_file")

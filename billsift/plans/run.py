@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from billsift import schemas
 from billsift.operators import extract, metrics
-from billsift.session import new_path
+from billsift.session import discard, new_path
 from billsift.sources import tables
 
 
@@ -23,13 +23,12 @@ class Store:
     run_log: str
 
 
-def stage(read: DataFrame) -> DataFrame:
+def stage(read: DataFrame, path: str) -> DataFrame:
     """Write the extraction once to the shared folder and read it from there.
 
     Records, failures and all counts then read a few columns of a written
     table. Losing executors costs no second extraction.
     """
-    path = new_path(read.sparkSession, "read")
     read.write.parquet(path)
     return read.sparkSession.read.schema(schemas.READ).parquet(path)
 
@@ -42,7 +41,8 @@ def run(documents: DataFrame, store: Store, incremental: bool = False) -> DataFr
     started, clock = datetime.now(timezone.utc), time.perf_counter()
     spark = documents.sparkSession
     run_id = tables.next_run_id(spark, store.run_log)
-    read = stage(extract.read_documents(documents))
+    staged = new_path(spark, "read")
+    read = stage(extract.read_documents(documents), staged)
     entry = metrics.run_summary(read).first().asDict()
     tables.write_failures(extract.failures(read), store.failed, run_id, incremental)
     entry["invoices_loaded"] = 0
@@ -50,5 +50,6 @@ def run(documents: DataFrame, store: Store, incremental: bool = False) -> DataFr
         entry["invoices_loaded"] = tables.load_batch(extract.records(read), store.processed, incremental)
     else:
         entry["notes"] = "No readable documents."
+    discard(spark, staged)
     times = {"id": run_id, "run_at": started, "duration_seconds": round(time.perf_counter() - clock, 3)}
     return tables.append_run_log(spark, store.run_log, entry | times)

@@ -58,3 +58,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``new_path`` gave, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from billsift import schemas
 from billsift.functions.dates import parse_invoice_date
 from billsift.operators import load
+from billsift.session import discard, new_path
 from billsift.sources.csv_files import read_records_csv
 
 _CORE_COLUMNS = ["invoice_id", "invoice_date", "vendor_name", "subtotal", "tax_amount", "grand_total"]
@@ -83,9 +84,12 @@ def load_batch(batch: DataFrame, path: str, incremental: bool) -> int:
         target = read_processed_or_none(batch.sparkSession, path)
         start = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         mode, fresh = "append", load.new_records(batch, target)
-    numbered = load.with_surrogate_ids(load.conform(fresh), start=start)
+    ordered = new_path(batch.sparkSession, "ordered")
+    numbered = load.with_surrogate_ids(load.conform(fresh), start, ordered)
     _stamp(numbered).write.mode(mode).parquet(path)
-    return numbered.count()  # of the written, ordered rows
+    loaded = numbered.count()
+    discard(batch.sparkSession, ordered)
+    return loaded
 
 
 def write_failures(failures: DataFrame, path: str, run_id: int, incremental: bool = False) -> DataFrame:

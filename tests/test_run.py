@@ -1,11 +1,13 @@
 """A whole run, its repetition, and the same extraction on a stream."""
 
+from pathlib import Path
+
 import pytest
 
 from billsift import schemas
 from billsift.operators import extract
 from billsift.plans.run import Store, run
-from billsift.session import new_path
+from billsift.session import new_path, shared_root
 from billsift.sources import tables
 from billsift.streaming.arrivals import read_arrivals
 
@@ -52,6 +54,14 @@ def test_incremental_run_after_full_run(spark, store):
     assert [(r.id, r.invoices_found, r.invoices_loaded) for r in log] == [(1, 1, 1), (2, 5, 2)]
 
 
+def test_a_run_leaves_no_scratch_tables(spark, store):
+    scratch = lambda: {p.name for p in Path(shared_root(spark)).iterdir() if p.name.startswith(("read-", "ordered-"))}
+    before = scratch()
+    run(batch(spark, ROWS), store)
+    run(batch(spark, ROWS), store, incremental=True)
+    assert scratch() == before
+
+
 def test_incremental_runs_from_nothing(spark, store):
     run(batch(spark, ROWS[:1]), store, incremental=True)
     log = run(batch(spark, ROWS), store, incremental=True).orderBy("id").collect()
