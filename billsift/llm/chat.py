@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 BEGIN, MIDDLE, END = "### ", ": ", "</turn>"
 LEARNED_ROLE = "assistant"

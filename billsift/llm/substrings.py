@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,7 +116,7 @@ def _deal_windows(buckets: int):
                 wanted = [b"".join(packed[slab.first_row + r].as_py()) for r in range(len(slab))]
                 owner = np.repeat(np.arange(len(slab)), [len(w) // 8 for w in wanted])
                 candidates = np.frombuffer(b"".join(wanted), np.uint64)
-                # (row, core) pairs as one number: a row number fits beside the 48 bits of a core
+                # (row, core) pairs as one number; row numbers beyond 16 bits only add candidates
                 pairs = (row.astype(np.uint64) << np.uint64(48)) | cores
                 look = np.isin(pairs, (owner.astype(np.uint64) << np.uint64(48)) | candidates)
                 at, own = at[look], ids[row[look]]
