@@ -1,7 +1,6 @@
 """Dedup, ids, inserts and the table on small frames."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from billsift import schemas
 from billsift.operators import load
