@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billsift.llm.tables import kept
+from billsift.llm.tables import kept, small
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -21,8 +21,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round connects every vertex's larger neighbours to its smallest neighbour,
     then its smaller neighbours likewise, which leaves a star per component after a
     number of rounds that grows with the logarithm of the graph. A round's edges are
-    written to the shared folder; minima combine before they are shuffled, so a
-    vertex with very many edges is no special case. Nothing but a count and two
+    written to the shared folder; minima combine before they are shuffled, and up to a
+    million of them are sent to the edges, so that the edges of a hub stay where they
+    are; beyond that the join shuffles and AQE splits a hub. Nothing but a count and two
     checksums of a round's edges reaches the driver.
     """
     larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
@@ -30,8 +31,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        wide = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        least = kept(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
+        wide = both.filter("b > a").join(small(least), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         wide = kept(wide.filter("a <> b").distinct(), "edges")
         least = wide.groupBy("a").agg(F.min("b").alias("least"))
         low = wide.join(least, "a")
