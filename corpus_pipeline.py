@@ -15,8 +15,9 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from billsift.llm import decontaminate, pieces, rules, similar, substrings
-from billsift.llm.tables import in_small_batches, kept
+from billsift.llm.tables import in_small_batches
 from billsift.llm.vocabulary import Vocabulary
+from billsift.session import discard, new_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents of a folder after all stages."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents of a folder after all stages; a stage's table goes when the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), name)
+        made, path = stage(spark, docs, sf_dir), new_path(spark, f"pipeline-{name}")
+        made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
