@@ -107,3 +107,25 @@ def test_templates_of_a_host(spark):
     rows = [(i, "h", f"<html><body><nav>m</nav><div id='main{i}'><p>{'text ' * 50}</p></div><div>x</div></body></html>") for i in range(5)]
     frame = spark.createDataFrame(rows, "page_id long, host string, html string")
     assert [tuple(r) for r in html.deduce_templates(frame).collect()] == [("h", ">html>body>div#main0")]
+
+
+BODY = "".join(f"<p>Paragraph {k} of page %d speaks about subject {k}.</p>" for k in range(12))
+
+
+def extracted(spark, pattern, pages=6):
+    """The texts of some pages of one host; %d is the number of the page."""
+    rows = [(i, f"http://host.example/{i}", pattern.replace("%d", str(i))) for i in range(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text.split("\n") for r in html.extract_texts(frame).collect()}
+
+
+def test_no_varying_text_outside_the_largest_element_is_lost(spark):
+    content = f"<h1>Title %d</h1><p>Lead %d</p><div class='post-body'>{BODY}</div>"
+    lines = ["Title {0}", "Lead {0}", *(f"Paragraph {k} of page {{0}} speaks about subject {k}." for k in range(12))]
+    for pages in (1, 6):
+        got = extracted(spark, f"<html><body><nav>Menu</nav><div id=content>{content}</div><footer>We</footer></body></html>", pages)
+        assert got == {i: [x.format(i) for x in lines] for i in range(pages)}
+    for tag, item in (("ul", "li"), ("table", "td"), ("section", "p"), ("figure", "p")):
+        items = "".join(f"<{item}>Entry {k} of page %d in a long list</{item}>" for k in range(20))
+        got = extracted(spark, f"<html><body><div id=content><p>First %d</p><{tag}>{items}</{tag}><p>Last %d</p></div></body></html>", 3)
+        assert all(x == [f"First {i}", *(f"Entry {k} of page {i} in a long list" for k in range(20)), f"Last {i}"] for i, x in got.items())
