@@ -50,7 +50,8 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
+_READ = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 _WORD = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[>!^\x01]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -83,7 +84,13 @@ class Element:
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(text)} if "=" in text or "hidden" in text else {}
+    found: dict[str, str] = {}
+    if "=" in text or "hidden" in text.lower():
+        for m in _ATTRIBUTE.finditer(text):
+            name = m[1].lower()
+            if name in _READ:
+                found.setdefault(name, (m[2] or "").strip("\"'"))
+    return found
 
 
 def _is_left_out(name: str, attributes: dict[str, str]) -> bool:

@@ -129,3 +129,19 @@ def test_no_varying_text_outside_the_largest_element_is_lost(spark):
         items = "".join(f"<{item}>Entry {k} of page %d in a long list</{item}>" for k in range(20))
         got = extracted(spark, f"<html><body><div id=content><p>First %d</p><{tag}>{items}</{tag}><p>Last %d</p></div></body></html>", 3)
         assert all(x == [f"First {i}", *(f"Entry {k} of page {i} in a long list" for k in range(20)), f"Last {i}"] for i, x in got.items())
+
+
+def test_constant_blocks_are_template_and_class_words_a_hint(spark):
+    site = f"<html><body class='has-sidebar'><div class='top'>Our site</div><h1 class='entry-header'>Title %d</h1><div class='post'>{BODY}</div><div class='end'>All rights</div></body></html>"
+    got = extracted(spark, site)
+    assert all(x == [f"Title {i}", *(f"Paragraph {k} of page {i} speaks about subject {k}." for k in range(12))] for i, x in got.items())
+    for around in ("article class='post comments-open'", "div class='content with-sidebar'", "form id=aspnet", "div class='widget'><div class='menu page'"):
+        close = "".join(f"</{a.split()[0]}>" for a in reversed(around.split("><")))
+        got = extracted(spark, f"<html><body><{around}><div class='page-header'><h1>Title %d</h1><p>Home</p></div>{BODY}<div class='ad'>Buy %d</div><p>A <span class='share'>tweet</span> z %d</p>{close}</body></html>")
+        assert all(x == [f"Title {i}", *(f"Paragraph {k} of page {i} speaks about subject {k}." for k in range(12)), f"A z {i}"] for i, x in got.items()), around
+
+
+def test_attributes_are_matched_by_their_names():
+    for attributes in ("style='overflow:hidden'", "href='/hidden-gems'", "data-hidden='false'", "data-role='note'", "data-class='ad'", "title='a class=ad'"):
+        assert html.read_page(f"<div {attributes}>text</div>")[0] == [(">div", "text")]
+    assert html.read_page("<div hidden>a</div><div HIDDEN>b</div><div aria-hidden=true>c</div><div x=1 role=note>d</div>")[0] == []
