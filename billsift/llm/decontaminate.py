@@ -11,14 +11,15 @@ distance of what the walkers see. Walkers start at every word of a text. Those t
 meet stay together and go on as one, which makes walks from all starts cheap. Keys are
 words seen at sampled steps (bit sampling), in several samples of several walks;
 the steps sampled for an item depend on its length class, so that a walker stays within
-a window of the item's size. Where a key of a text is one of an item, the edit
-distance is computed and decides alone.
+a window of the item's size. Longer items have keys at every ``STRETCH`` words besides, so
+that edits that sit together leave other stretches as they were. Where a key of a text is
+one of an item, the edit distance is computed and decides alone.
 
 Recall: a copy without edits is found always, as equal words give equal keys. For edited
 copies ``WALKS`` and ``SAMPLES`` set the recall, which the tests measure.
 
 The benchmark is the query set. It is read by the driver in blocks of about
-``BLOCK_ITEMS`` items, for each of which all documents are scanned in one narrow pass. Null
+``BLOCK_ITEMS`` items, a long one counted as often as it has stretches, for each of which all documents are scanned in one narrow pass. Null
 or empty items and texts match nothing. Items of fewer than 8 words allow no edit and
 are found by the hash of the whole. Repeated rows are reported each. Columns other than
 ids and texts are not read.
@@ -39,7 +40,8 @@ from billsift.llm.texts import mix, slabs, window_hashes
 WALKS = 2
 SAMPLES = 8
 SAMPLED_STEPS = 4
-CLASSES = (8, 16, 32, 64)  # least number of words; items beyond the last are looked for by their beginning
+CLASSES = (8, 16, 32, 64)  # least number of words; items of the last are looked for by their stretches too
+STRETCH = 32
 EDITS_PER_WORDS = 10
 BLOCK_ITEMS = 20_000
 _ONE = np.uint64(1)
@@ -110,6 +112,12 @@ def class_of(n: int) -> int:
     return int(np.searchsorted(CLASSES, n, "right")) - 1
 
 
+def _stretches(n: int) -> list[tuple[int, np.ndarray]]:
+    """Classes of the keys of an item of n words, and the words from which it has them."""
+    own = [(class_of(n), np.zeros(1, np.int64))]
+    return own if n < CLASSES[-1] else [*own, (class_of(STRETCH), np.arange(0, n - STRETCH + 1, STRETCH))]
+
+
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edit distance of an item to a stretch of a text, and the first end of such a stretch."""
     across = np.arange(len(text) + 1)
@@ -138,7 +146,7 @@ class Index:
     """Keys of a block of items, and their words for the exact comparison."""
 
     def __init__(self, ids: list[int], texts: pa.Array):
-        self.ids, self.items, self.short, keys, owners = [], [], {}, [], []
+        self.ids, self.items, self.short, keys, owners, offsets = [], [], {}, [], [], []
         self.wanted: set[int] = set()
         self.walks = Walks()
         row = 0
@@ -155,17 +163,20 @@ class Index:
                         whole = int(window_hashes(item, np.zeros(1, np.int64), len(item))[0])
                         self.short.setdefault(len(item), {}).setdefault(whole, []).append(number)
                     else:
-                        own = class_of(len(item))
-                        self.wanted.add(own)
                         ended, _ = _ended(item, np.zeros(len(item), np.int64), 1)
-                        mine = [k[0] for c, k, _, _ in self.walks.keys(ended, np.zeros(1, np.int64), [own]) if c == own]
-                        keys += mine
-                        owners += [number] * len(mine)
+                        for own, starts in _stretches(len(item)):
+                            self.wanted.add(own)
+                            for c, key, begin, end in self.walks.keys(ended, starts, [own]):
+                                if c == own:
+                                    keys.append(np.repeat(key, end - begin + 1))
+                                    owners.append(np.full(len(starts), number))
+                                    offsets.append(starts)
                 row += 1
-        order = np.argsort(np.array(keys, np.uint64), kind="stable")
-        self.keys = np.array(keys, np.uint64)[order]
-        self.owners = np.array(owners, np.int64)[order]
-        self.bits = np.zeros(1 << max(16, (64 * len(keys)).bit_length()), bool)
+        self.keys = np.concatenate([np.zeros(0, np.uint64), *keys])
+        order = np.argsort(self.keys, kind="stable")
+        self.keys = self.keys[order]
+        self.owners, self.offsets = (np.concatenate([np.zeros(0, np.int64), *x])[order] for x in (owners, offsets))
+        self.bits = np.zeros(1 << max(16, (64 * len(self.keys)).bit_length()), bool)
         self.bits[self.keys & np.uint64(len(self.bits) - 1)] = True
 
     def found(self, words: np.ndarray, rows: np.ndarray, n: int) -> dict[tuple[int, int], tuple[int, int, int]]:
@@ -182,16 +193,16 @@ class Index:
                 high = np.searchsorted(self.keys, key[maybe], "right")
                 for m, a, b in zip(maybe[high > low], low[high > low], high[high > low], strict=True):
                     spot = (int(first[m]), int(last[m]))
-                    for number in self.owners[a:b]:
+                    for number, offset in zip(self.owners[a:b].tolist(), self.offsets[a:b].tolist(), strict=True):
                         # walkers of two texts never meet, so both ends are in one row
-                        places.setdefault((int(rows[spot[0]]), int(number)), set()).add(spot)
+                        places.setdefault((int(rows[spot[0]]), number), set()).add((spot[0] - offset, spot[1] - offset))
         best = {}
         for (row, number), spots in places.items():
             item = self.items[number]
             edits = len(item) // EDITS_PER_WORDS
             for low, high in _merged(sorted(spots), len(item)):
                 a = max(begin[row], low - edits)
-                b = min(begin[row] + counts[row], high + len(item) + 2 * edits)
+                b = max(a, min(begin[row] + counts[row], high + len(item) + 2 * edits))
                 if np.isin(item, words[a:b]).sum() < len(item) - edits:
                     continue  # each word that is missing is an edit
                 distance, end = best_match(item, words[a:b])
@@ -231,7 +242,9 @@ def _search(index: Index):
 def _indexes(benchmark: DataFrame, block_items: int) -> Iterator[Index]:
     """The items in blocks, each with its keys; a block is all that the driver holds."""
     items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
-    blocks = max(1, -(-items.count() // block_items))
+    stretches = F.greatest(F.lit(1), F.floor(F.size(F.split("text", r"\s+")) / STRETCH))
+    count = items.agg(F.sum(stretches)).first()[0] or 0
+    blocks = max(1, -(-int(count) // block_items))
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toArrow()
         yield Index(part.column("item_id").to_pylist(), part.column("text"))

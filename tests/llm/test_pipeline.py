@@ -70,6 +70,35 @@ def test_recall_of_edited_items(spark):
     assert hits / len(truth) >= 0.9
 
 
+def clustered(n, rnd, copies=20):
+    """Items of n words, and texts with each item, whose n // 10 edits sit together at its beginning, middle or end."""
+    items = [[f"w{rnd.randrange(5000)}" for _ in range(n)] for _ in range(4)]
+    texts = []
+    for number, words in enumerate(items):
+        for copy in range(copies * 3):
+            edits = n // 10
+            at = (rnd.randrange(n // 10), (n - edits) // 2, n - edits - rnd.randrange(n // 10))[copy % 3]
+            # an equal number of words replaced, added or dropped in one place
+            kind = copy // 3 % 3
+            put = [f"x{rnd.randrange(5000)}" for _ in range(edits)] if kind < 2 else []
+            edited = words[:at] + put + words[at + (edits if kind != 1 else 0) :]
+            around = [f"w{rnd.randrange(5000)}" for _ in range(60)]
+            texts.append((number, " ".join(around[:30] + edited + around[30:])))
+    return [" ".join(i) for i in items], texts
+
+
+@pytest.mark.parametrize("n", [64, 100, 320, 1000])
+def test_recall_of_long_items_with_edits_in_one_place(n):
+    items, texts = clustered(n, random.Random(n))
+    index = decontaminate.Index(list(range(len(items))), pa.array(items))
+    hits = 0
+    for slab in decontaminate.slabs(pa.array([t for _, t in texts])):
+        first, last, rows = slab.words()
+        found = {(row, index.ids[k]) for row, k in index.found(slab.hashes(first, last, lower=True), rows, len(slab))}
+        hits += sum((row, texts[slab.first_row + row][0]) in found for row in range(len(slab)))
+    assert hits / len(texts) >= 0.99
+
+
 def test_best_match_is_the_edit_distance():
     rnd = np.random.default_rng(8)
     for _ in range(100):
