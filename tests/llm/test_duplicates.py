@@ -50,6 +50,53 @@ def test_jaccard_groups_of_near_copies(spark, shard):
     assert got == brute.jaccard_groups(documents)
 
 
+def test_documents_of_one_template_are_not_paired(spark, monkeypatch):
+    """160 documents with 170 of 200 shingles in common do not link; near copies of some do, in other shards."""
+    rnd = random.Random(5)
+    word = lambda: f"v{rnd.randrange(100000)}"
+    common = [word() for _ in range(174)]
+    documents = [common + [word() for _ in range(30)] for _ in range(160)]
+    documents += [d[:-3] + [word()] * 3 for d in documents[:20]]
+    texts = {i: " ".join(d) for i, d in enumerate(documents)}
+    written = []
+
+    def counted(frame, name):
+        written.append((name, (out := keep(frame, name)).count()))
+        return out
+
+    keep = similar.kept
+    monkeypatch.setattr(similar, "kept", counted)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar.jaccard_groups(frame, 9000).collect()}
+    assert got == brute.jaccard_groups(texts)
+    assert len({c for _, c in got.values()}) == 160
+    assert dict(written)["block-sizes"] == 1 and max(n for _, n in written) <= 10 * len(texts), written
+
+
+def test_parts_across_two_shards():
+    rnd = np.random.default_rng(3)
+    for _ in range(50):
+        base = [rnd.choice(200, 40, replace=False).astype(np.uint64) for _ in range(4)]
+        sets = [[np.unique(np.append(rnd.choice(base[rnd.integers(4)], 37, replace=False), rnd.integers(200, 220, 1, np.uint64))) for _ in range(8)] for _ in range(2)]
+        parts = [similar.parts_of(s) for s in sets]
+        parts = [[p for p in parts[0]], [p + 100 for p in parts[1]]]
+        group = {x: x for own in parts for x in own}
+        expected = dict(group)
+
+        def joined(groups, a, b):
+            a, b = groups[a], groups[b]
+            return {x: min(a, b) if g in (a, b) else g for x, g in groups.items()}
+
+        for a, b in similar.parts_across(sets, parts):
+            group = joined(group, a, b)
+        for x, p in zip(sets[0], parts[0], strict=True):
+            for y, q in zip(sets[1], parts[1], strict=True):
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 80 * (len(x) + len(y) - both):
+                    expected = joined(expected, p, q)
+        assert group == expected
+
+
 def test_search_finds_all_links():
     rnd = np.random.default_rng(1)
     base = np.unique(rnd.integers(0, 2**60, 300, dtype=np.uint64))
