@@ -18,6 +18,7 @@ from billsift.llm.similar import op7_ngram_jaccard_join
 from billsift.llm.substrings import op4_substring_dedup
 from billsift.llm.tables import in_small_batches
 from billsift.llm.token_counts import op2_token_counts
+from billsift.llm.token_files import op13_token_files
 from billsift.llm.toxicity import op10_toxicity
 
 __all__ = ["ORACLES", "QUERIES", "importable"]
@@ -49,5 +50,6 @@ QUERIES: dict[str, Query] = {
         "op8_quality_rules": op8_quality_rules,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op13_token_files": op13_token_files,
     }.items()
 }
