@@ -87,8 +87,40 @@ FROM split LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
 """
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce({0}, ''), '" + _UPPER + "', '" + _LOWER + "'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+_LEXICAL = f"""
+WITH occurrences AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, unnest({_TERMS.format('text')}) AS term
+  FROM documents WHERE doc_id IS NOT NULL
+),
+postings AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM occurrences GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS l FROM lengths),
+frequencies AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM postings GROUP BY term),
+asked AS (SELECT item_id, unnest({_TERMS.format('text')}) AS term FROM benchmark),
+queries AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS q FROM asked GROUP BY ALL),
+scores AS (
+  SELECT queries.item_id, postings.doc_id, CAST(sum(
+      queries.q
+      * CAST(floor(1000.0 * ln((2.0 * totals.nd + 2) / (2.0 * frequencies.df + 1))) AS BIGINT)
+      * ((1000000000 * postings.tf) // (1000 * postings.tf + 8 * (25 + (75 * lengths.n * totals.nd) // totals.l)))
+    ) AS BIGINT) AS score
+  FROM queries JOIN postings USING (term) JOIN frequencies USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_formatting": _CHAT,
     "op4_substring_dedup": _SUBSTRINGS,
     "op7_ngram_jaccard_join": _SIMILAR,
+    "op12_lexical_search": _LEXICAL,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.html import op5_html_extraction
+from billsift.llm.lexical import op12_lexical_search
 from billsift.llm.oracle import ORACLES
 from billsift.llm.pieces import op9_sentencepiece
 from billsift.llm.quality import op6_quality_classifier
@@ -50,6 +51,7 @@ QUERIES: dict[str, Query] = {
         "op8_quality_rules": op8_quality_rules,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op12_lexical_search": op12_lexical_search,
         "op13_token_files": op13_token_files,
     }.items()
 }
