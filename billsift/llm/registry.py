@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from billsift.llm.alignment import op11_tokenizer_alignment
 from billsift.llm.chat import op1_chat_formatting
 from billsift.llm.decontaminate import op3_benchmark_decontamination
 from billsift.llm.html import op5_html_extraction
@@ -51,6 +52,7 @@ QUERIES: dict[str, Query] = {
         "op8_quality_rules": op8_quality_rules,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op11_tokenizer_alignment": op11_tokenizer_alignment,
         "op12_lexical_search": op12_lexical_search,
         "op13_token_files": op13_token_files,
     }.items()
