@@ -102,14 +102,15 @@ _MIDDLE = (
 _END = "'Thank you for your business. Payment due within 30 days.'"
 
 
-def _page(head: list[str], totals: list[str]) -> str:
-    return _lines(*_TOP, *head, *_MIDDLE, *totals, _END)
+def _page(head: list[str], totals: list[str], items: bool = False) -> str:
+    return _lines(*_TOP, *head, *_MIDDLE, *(["items_text"] if items else []), *totals, _END)
 
 
 def _standard(total: str) -> str:
     return _page(
         ["'Invoice No: ' || invoice_id", "'Date: ' || day_text"],
         [f"'Subtotal: ' || {_rs('subtotal')}", f"'GST (18%): ' || {_rs('tax')}", f"'Grand Total: ' || {_rs(total)}"],
+        items=True,
     )
 
 
@@ -126,7 +127,7 @@ _BODY = f"""CASE WHEN n_items IS NULL THEN NULL
       ["'Invoice No: ' || invoice_id", "'Dated: ' || day_text"],
       [f"'Sub Total: ' || {_rs('subtotal')}", f"'CGST @ 2.5%: ' || {_rs('low_cgst')}",
        f"'SGST @ 2.5%: ' || {_rs('low - low_cgst')}", f"'CGST @ 9%: ' || {_rs('high_cgst')}",
-       f"'SGST @ 9%: ' || {_rs('tax - low - high_cgst')}", f"'Net Payable: ' || {_rs('total')}"])}
+       f"'SGST @ 9%: ' || {_rs('tax - low - high_cgst')}", f"'Net Payable: ' || {_rs('total')}"], items=True)}
   WHEN layout = 4 THEN {_page(
       ["'Bill No.: ' || invoice_id", "'Date: ' || day_text"],
       [f"'Sub Total: ' || {_plain('subtotal')}", f"'Tax Amount: ' || {_plain('tax')}",
@@ -136,8 +137,23 @@ _BODY = f"""CASE WHEN n_items IS NULL THEN NULL
       [f"'Subtotal: ' || {_rs('subtotal')}", f"'Grand Total: ' || {_rs('subtotal')}"])}
   ELSE {_standard('total')} END"""
 
+_ITEMS = """item_rows AS (
+  SELECT l_orderkey AS doc_id, l_linenumber AS line_no,
+    concat_ws('  ', coalesce(p_name, ''), CAST(CAST(l_quantity AS INTEGER) AS VARCHAR),
+      format('{:,.2f}', CAST((2 * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) + CAST(l_quantity AS BIGINT))
+           // (2 * CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100),
+      format('{:,.2f}', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE))) AS item_row
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
+),
+items AS (
+  SELECT doc_id, 'Description  Qty  Unit Price (Rs.)  Amount (Rs.)' || chr(10)
+    || string_agg(item_row, chr(10) ORDER BY line_no, item_row) AS items_text
+  FROM item_rows GROUP BY doc_id
+)"""
+
 _DOCUMENTS = f"""{_FACTS},
-bodies AS (SELECT *, {_BODY} AS body FROM sent),
+{_ITEMS},
+bodies AS (SELECT sent.*, items_text, {_BODY} AS body FROM sent LEFT JOIN items USING (doc_id)),
 docs AS (
   SELECT doc_id, source_file, readable, layout, body,
     CASE WHEN layout = 7 THEN ' ' || chr(10) ELSE coalesce(body, '') END AS text,

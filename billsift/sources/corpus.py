@@ -3,8 +3,13 @@
 Every order becomes one invoice text in one of eight layouts, and its known
 values are the ground truth for the extraction. All per-order values are sums,
 counts and minima, which Spark combines before the shuffle, so an order that
-holds a large share of all lines costs one row per map task and no more. Item
-rows stay rows (``line_items``) and are never collected into a text.
+holds a large share of all lines costs one row per map task and no more.
+
+Layouts 0, 3, 5 and 7 print the order's item table between the buyer and the
+totals (``item_tables``). Its rows are assembled in two levels: lines into blocks
+of ``ITEM_BLOCK_LINES`` by (order, line_no div block), then blocks into the table,
+so no group holds more than one block of lines or one order's block texts, and
+the lines of a large order are spread over many tasks. No row is left out.
 """
 
 from __future__ import annotations
@@ -14,6 +19,9 @@ from pyspark.sql import functions as F
 
 GST_RATE = "0.18"
 LAYOUTS = 8
+ITEM_LAYOUTS = (0, 3, 5, 7)
+ITEM_BLOCK_LINES = 512
+ITEM_HEADER = "Description  Qty  Unit Price (Rs.)  Amount (Rs.)"
 MONEY = "decimal(18,2)"
 
 
@@ -51,6 +59,27 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_tables(lines: DataFrame, block_lines: int = ITEM_BLOCK_LINES) -> DataFrame:
+    """``doc_id, items_text``: the header and one row per line, in line order.
+
+    ``lines`` has the columns of ``line_items``. A row reads description, quantity,
+    unit price and amount, two blanks apart, amounts with thousands separators.
+    Rows of one line number (the tables repeat some) follow each other by their text.
+    """
+    money = lambda c: F.format_number(F.col(c).cast(MONEY), 2)
+    row = F.concat_ws(
+        "  ", F.coalesce(F.col("description"), F.lit("")), F.col("quantity").cast("string"), money("unit_price"), money("amount")
+    )
+    rows = F.sort_array(F.collect_list(F.struct("line_no", row.alias("row"))))
+    blocks = lines.groupBy("doc_id", F.floor(F.col("line_no") / block_lines).alias("block")).agg(
+        F.array_join(F.transform(rows, lambda r: r["row"]), "\n").alias("rows")
+    )
+    ordered = F.sort_array(F.collect_list(F.struct("block", "rows")))
+    return blocks.groupBy("doc_id").agg(
+        F.concat_ws("\n", F.lit(ITEM_HEADER), F.array_join(F.transform(ordered, lambda b: b["rows"]), "\n")).alias("items_text")
+    )
+
+
 def invoice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line totals of each invoice, with 18 % tax worked out in decimals."""
     subtotal = F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY)
@@ -163,8 +192,9 @@ def _render(facts: DataFrame) -> DataFrame:
     day = F.col("day_text")
     number = F.col("invoice_id")
 
-    def page(head: list[Column], totals: list[Column]) -> Column:
-        return F.concat_ws("\n", *top, *head, *middle, *totals, *end)
+    def page(head: list[Column], totals: list[Column], items: bool = False) -> Column:
+        table = [F.col("items_text")] if items else []
+        return F.concat_ws("\n", *top, *head, *middle, *table, *totals, *end)
 
     standard_head = [line(text("Invoice No: "), number), line(text("Date: "), day)]
 
@@ -176,6 +206,7 @@ def _render(facts: DataFrame) -> DataFrame:
                 line(text("GST (18%): "), _rupees(tax)),
                 line(text("Grand Total: "), _rupees(printed_total)),
             ],
+            items=True,
         )
 
     layouts = {
@@ -206,6 +237,7 @@ def _render(facts: DataFrame) -> DataFrame:
                 line(text("SGST @ 9%: "), _rupees(tax - low - high_cgst)),
                 line(text("Net Payable: "), _rupees(total)),
             ],
+            items=True,
         ),
         4: page(
             [line(text("Bill No.: "), number), line(text("Date: "), F.date_format("issued", "d MMMM yyyy"))],
@@ -234,7 +266,8 @@ def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text instead, the others (and orders without lines) are unreadable. Every
     fiftieth order is sent in twice, under a later file name.
     """
-    rendered = _render(invoice_facts(spark, sf_dir))
+    facts = invoice_facts(spark, sf_dir).join(item_tables(line_items(spark, sf_dir)), "doc_id", "left")
+    rendered = _render(facts)
     copies = F.when(F.col("doc_id") % 50 == 0, F.array(F.lit(""), F.lit("_b"))).otherwise(F.array(F.lit("")))
     scanned = F.col("layout") == 7
     recognised = F.col("doc_id") % 16 == 7

@@ -155,3 +155,24 @@ def test_csv_of_other_writers(spark, tmp_path):
     schema = spark.createDataFrame([], "invoice_id string, vendor_name string").schema
     got = csv_files.read_csv(spark, str(tmp_path / "x.csv"), schema, foreign=True).orderBy("invoice_id").collect()
     assert [r.vendor_name for r in got] == ["two\nlines", "C:\\new"]
+
+
+def test_item_table_of_a_large_order_keeps_every_line_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from billsift.sources.corpus import ITEM_HEADER, item_tables
+
+    n = 100_000
+    lines = spark.range(n).select(
+        F.lit(7).cast("long").alias("doc_id"),
+        (F.lit(n) - F.col("id")).cast("int").alias("line_no"),
+        F.concat(F.lit("part "), F.col("id").cast("string")).alias("description"),
+        F.lit(2).alias("quantity"),
+        F.lit(1234.5).alias("unit_price"),
+        F.lit(2469.0).alias("amount"),
+    ).unionByName(spark.createDataFrame([(8, 1, None, 1, 5.0, 5.0)], "doc_id long, line_no int, description string, quantity int, unit_price double, amount double"))
+    tables = {r.doc_id: r.items_text for r in item_tables(lines, block_lines=512).collect()}
+    rows = tables[7].split("\n")
+    assert rows[0] == ITEM_HEADER and len(rows) == n + 1
+    assert rows[1] == f"part {n - 1}  2  1,234.50  2,469.00" and rows[-1] == "part 0  2  1,234.50  2,469.00"
+    assert tables[8] == ITEM_HEADER + "\n  1  5.00  5.00"
