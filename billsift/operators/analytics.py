@@ -86,6 +86,7 @@ def review_queue(
     """Rows that match all given conditions; each is pushed to the file scan.
 
     Days are those of ``invoice_dt``, both included, however the date was printed.
+    On the review table (``write_review_table``) they also select its month folders.
     """
     wanted = {
         "validation_passed": passed,
@@ -96,8 +97,13 @@ def review_queue(
     for column, value in wanted.items():
         if value is not None:
             processed = processed.filter(F.col(column) == value)
+    months = "invoice_month" in processed.columns
     if since is not None:
         processed = processed.filter(F.col("invoice_dt") >= F.lit(since))
+        if months:  # the same condition on the partition column prunes folders
+            processed = processed.filter(F.col("invoice_month") >= F.trunc(F.lit(since), "month"))
     if until is not None:
         processed = processed.filter(F.col("invoice_dt") <= F.lit(until))
+        if months:
+            processed = processed.filter(F.col("invoice_month") <= F.trunc(F.lit(until), "month"))
     return processed

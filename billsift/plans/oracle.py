@@ -422,6 +422,10 @@ ORACLES: dict[str, str] = {
         "invoice_id, strftime(issued, '%Y-%m-%d') AS invoice_dt, grand_total, source_file",
         "WHERE validation_passed = 1 AND issued BETWEEN DATE '1995-04-01' AND DATE '1995-06-30'",
     ),
+    "review_queue_pruned": _processed(
+        "invoice_id, strftime(issued, '%Y-%m-%d') AS invoice_dt, grand_total, source_file",
+        "WHERE validation_passed = 1 AND issued BETWEEN DATE '1995-04-01' AND DATE '1995-06-30'",
+    ),
     "review_queue_scanned": _processed(
         "invoice_id, vendor_name, grand_total, source_file",
         "WHERE overall_confidence = 'HIGH' AND extraction_method = 'ocr'",

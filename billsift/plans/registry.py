@@ -297,6 +297,17 @@ def review_queue_by_date(spark, sf_dir):
     return _day_as_text(queue.select("invoice_id", "invoice_dt", "grand_total", "source_file"))
 
 
+def review_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _once(spark, sf_dir, "review", lambda p: tables.write_review_table(processed_table(spark, sf_dir), p))
+    return tables.read_review_table(spark, path)
+
+
+def review_queue_pruned(spark, sf_dir):
+    """The quarter of ``review_queue_by_date`` from the table laid out by month."""
+    queue = analytics.review_queue(review_table(spark, sf_dir), passed=1, since=date(1995, 4, 1), until=date(1995, 6, 30))
+    return _day_as_text(queue.select("invoice_id", "invoice_dt", "grand_total", "source_file"))
+
+
 def review_queue_scanned(spark, sf_dir):
     return analytics.review_queue(processed_table(spark, sf_dir), confidence="HIGH", method="ocr").select(
         "invoice_id", "vendor_name", "grand_total", "source_file"
@@ -373,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "explorer_view": explorer_view,
     "review_queue": review_queue,
     "review_queue_by_date": review_queue_by_date,
+    "review_queue_pruned": review_queue_pruned,
     "review_queue_scanned": review_queue_scanned,
     "accuracy_join": _joined,
     "match_rate": _on_joined(accuracy.match_rate),

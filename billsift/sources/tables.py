@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from billsift import schemas
@@ -78,18 +81,62 @@ def load_incremental(batch: DataFrame, path: str) -> DataFrame:
 
 
 def load_batch(batch: DataFrame, path: str, incremental: bool) -> int:
-    """Load a batch into the table and return how many of its records that kept."""
-    start, mode, fresh = 0, "overwrite", load.dedup_first_wins(batch)
+    """Load a batch into the table and return how many of its records that kept.
+
+    A full refresh is written beside the table and put in its place only once the
+    write has succeeded (``replace_whole``): a load that fails leaves the old table.
+    """
+    spark = batch.sparkSession
+    start, fresh = 0, load.dedup_first_wins(batch)
     if incremental:
-        target = read_processed_or_none(batch.sparkSession, path)
+        target = read_processed_or_none(spark, path)
         start = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        mode, fresh = "append", load.new_records(batch, target)
-    ordered = new_path(batch.sparkSession, "ordered")
-    numbered = load.with_surrogate_ids(load.conform(fresh), start, ordered)
-    _stamp(numbered).write.mode(mode).parquet(path)
-    loaded = numbered.count()
-    discard(batch.sparkSession, ordered)
-    return loaded
+        fresh = load.new_records(batch, target)
+    ordered = new_path(spark, "ordered")
+    try:
+        numbered = load.with_surrogate_ids(load.conform(fresh), start, ordered)
+        if incremental:
+            _stamp(numbered).write.mode("append").parquet(path)
+        else:
+            replace_whole(spark, path, lambda staged: _stamp(numbered).write.parquet(staged))
+        return numbered.count()
+    finally:
+        discard(spark, ordered)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def replace_whole(spark: SparkSession, path: str, write) -> None:
+    """Write a table beside ``path`` with ``write(staged)``, then put it in its place.
+
+    Nothing at ``path`` changes until the write has succeeded; a failed write only
+    leaves its staging folder, which is deleted. The swap is two renames in one
+    folder of one file system (old aside, new in), and the old table is deleted last.
+    """
+    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        write(staged)
+    except BaseException:
+        discard(spark, staged)
+        raise
+    target, fs = _file_system(spark, path)
+    new, _ = _file_system(spark, staged)
+    aside = None
+    if fs.exists(target):
+        aside, _ = _file_system(spark, f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+        if not fs.rename(target, aside):
+            discard(spark, staged)
+            raise OSError(f"could not move {path} aside")
+    if not fs.rename(new, target):
+        if aside is not None:
+            fs.rename(aside, target)
+        discard(spark, staged)
+        raise OSError(f"could not put the new table at {path}")
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 def write_failures(failures: DataFrame, path: str, run_id: int, incremental: bool = False) -> DataFrame:
@@ -118,3 +165,42 @@ def append_run_log(spark: SparkSession, path: str, entry: dict) -> DataFrame:
     row = {**dict.fromkeys(schemas.RUN_LOG.fieldNames()), "id": next_run_id(spark, path), **entry}
     spark.createDataFrame([row], schemas.RUN_LOG).write.mode("append").parquet(path)
     return spark.read.schema(schemas.RUN_LOG).parquet(path)
+
+
+REVIEW_SORT = ["validation_passed", "overall_confidence", "vendor_name", "source_file"]
+
+
+def invoice_month(day) -> F.Column:
+    """First day of the month of a date column: the review table's partition value."""
+    return F.trunc(day, "month")
+
+
+def write_review_table(processed: DataFrame, path: str, dynamic: bool = True) -> None:
+    """Lay the invoice table out for the review filters.
+
+    One folder per month of ``invoice_dt`` (``invoice_month``; undated rows in the
+    default folder), and within each file rows sorted by validation result,
+    confidence and vendor, so that Parquet's row-group bounds let filters on those
+    skip data and a filter on days reads only its months. The rows are dealt by
+    ranges of (month, sort key), so a month with a third of all rows is written by
+    many tasks, each to its own file. With ``dynamic`` only the months present in
+    ``processed`` are replaced; other months stay as they are.
+    """
+    laid_out = (
+        processed.withColumn("invoice_month", invoice_month(F.col("invoice_dt")))
+        .repartitionByRange("invoice_month", *REVIEW_SORT)
+        .sortWithinPartitions("invoice_month", *REVIEW_SORT)
+    )
+    (
+        laid_out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .partitionBy("invoice_month")
+        .parquet(path)
+    )
+
+
+def read_review_table(spark: SparkSession, path: str) -> DataFrame:
+    """The laid-out table: the invoice columns and ``invoice_month``."""
+    laid_out = T.StructType([*schemas.PROCESSED.fields, T.StructField("invoice_month", T.DateType())])
+    return spark.read.schema(laid_out).parquet(path)
+

@@ -129,3 +129,61 @@ def test_first_batch_makes_the_table(spark):
 def test_amounts_in_text_are_read_like_printed_ones(spark):
     frame = spark.createDataFrame([("1,23,456.78",), ("12d",), (None,)], "grand_total string")
     assert [r.grand_total for r in load.conform(frame).collect()] == [123456.78, None, None]
+
+
+def test_failed_refresh_leaves_the_old_table(spark):
+    from pyspark.sql import functions as F
+
+    path = new_path(spark, "table")
+    tables.load_full_refresh(records(spark, [("A", "1.pdf", 1.0), ("B", "2.pdf", 2.0)]), path)
+    rows = [(f"N{i}", f"{i:04d}.pdf", float(i)) for i in range(500)]
+    # The write fails half-way: one row's total raises once the tasks run.
+    spoiled = records(spark, rows).withColumn(
+        "grand_total", F.when(F.col("invoice_id") == "N250", F.raise_error(F.lit("bad row"))).otherwise(F.col("grand_total"))
+    )
+    with pytest.raises(Exception, match="bad row"):
+        tables.load_full_refresh(spoiled, path)
+    kept = tables.read_processed(spark, path)
+    assert sorted((r.id, r.invoice_id) for r in kept.collect()) == [(1, "A"), (2, "B")]
+    parent, name = path.rsplit("/", 1)
+    import os
+
+    assert [f for f in os.listdir(parent) if f.startswith(name + ".")] == []
+
+
+def files_read(frame):
+    """Files the scan of a frame read, from its metric after a run."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.length()) if "Scan" in leaves.apply(i).nodeName()]
+    return sum(scan.metrics().apply("numFiles").value() for scan in scans)
+
+
+def test_review_table_prunes_months_and_keeps_rows(spark, tmp_path):
+    import datetime
+
+    from pyspark.sql import functions as F
+
+    from billsift.operators import analytics
+
+    rows = [(f"I{i}", f"{i:04d}.pdf", float(i)) for i in range(600)]
+    dated = records(spark, rows).withColumn(
+        "invoice_dt", F.date_add(F.lit(datetime.date(1995, 1, 1)), (F.substring("invoice_id", 2, 4).cast("int") % 365))
+    ).withColumn("validation_passed", (F.substring("invoice_id", 2, 4).cast("int") % 2).cast("int"))
+    dated = dated.unionByName(records(spark, [("U", "u.pdf", 1.0)]).withColumn("invoice_dt", F.lit(None).cast("date"))
+                              .withColumn("validation_passed", F.lit(1)))
+    path = str(tmp_path / "review")
+    tables.write_review_table(dated, path)
+    table = tables.read_review_table(spark, path)
+    assert table.count() == dated.count()
+    queue = analytics.review_queue(table, passed=1, since=datetime.date(1995, 4, 1), until=datetime.date(1995, 6, 30))
+    plan = queue._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(invoice_month" in plan and "invoice_month#" in plan
+    assert files_read(queue) < files_read(table) == len(table.inputFiles())
+    expected = dated.where("validation_passed = 1 AND invoice_dt BETWEEN DATE'1995-04-01' AND DATE'1995-06-30'")
+    assert sorted(r.invoice_id for r in queue.collect()) == sorted(r.invoice_id for r in expected.collect())
+    # Dynamic overwrite: writing April again replaces April only.
+    tables.write_review_table(dated.where("month(invoice_dt) = 4"), path)
+    assert tables.read_review_table(spark, path).count() == dated.count()
