@@ -375,6 +375,10 @@ ORACLES: dict[str, str] = {
     ),
     "csv_roundtrip_extracted": _records(_STORED_COLUMNS.replace(" invoice_date,", f" {_AWKWARD},")),
     "ground_truth_csv": _facts(_TRUTH_SELECT),
+    "csv_rejects": _processed(
+        "CAST(id AS BIGINT) AS id, 'line does not parse as the header''s columns and types' AS reason", "WHERE id % 7 = 0"
+    ),
+    "csv_rejects_kept": _processed("CAST(id AS BIGINT) AS id, invoice_id, grand_total", "WHERE id % 7 <> 0"),
     "quarantine_runs": _facts(
         f"SELECT source_file, '{NO_TEXT}' AS reason, r AS run_id "
         "FROM sent, (VALUES (1::BIGINT), (2::BIGINT)) runs(r) WHERE NOT readable"

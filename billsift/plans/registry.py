@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from billsift import schemas
 from billsift.functions import fields
-from billsift.functions.amounts import format_currency, parse_amount
+from billsift.functions.amounts import format_currency, parse_amount, plain_number
 from billsift.functions.dates import parse_invoice_date
 from billsift.operators import accuracy, analytics, extract, load, metrics
 from billsift.session import new_path
@@ -228,6 +228,27 @@ def _awkward(records: DataFrame) -> DataFrame:
     return records.withColumn("invoice_date", F.replace("invoice_date", F.lit("-"), F.lit('\n\\",\\n\r')))
 
 
+def _spoiled_csv(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The invoice table as CSV in which every seventh id's total is not a number."""
+    path = new_path(spark, "spoiled-csv")
+    table = processed_table(spark, sf_dir)
+    total = F.when(F.col("id") % 7 == 0, F.lit("n/a")).otherwise(plain_number(F.col("grand_total")))
+    csv_files.write_csv(table.withColumn("grand_total", total), path)
+    return csv_files.read_csv_split(spark, path, schemas.PROCESSED, new_path(spark, "csv-staged"), schemas.REQUIRED_COLUMNS)
+
+
+def csv_rejects(spark, sf_dir):
+    """Lines of a CSV file that do not parse, by the id that starts them, with the reason."""
+    _, rejects = _spoiled_csv(spark, sf_dir)
+    return rejects.select(F.split("line", ",")[0].cast("long").alias("id"), "reason")
+
+
+def csv_rejects_kept(spark, sf_dir):
+    """The lines of the same file that parse: records, none lost with the bad ones."""
+    records, _ = _spoiled_csv(spark, sf_dir)
+    return records.select("id", "invoice_id", "grand_total")
+
+
 def ground_truth_csv(spark, sf_dir):
     path = new_path(spark, "truth-csv")
     csv_files.write_ground_truth_csv(truth_table(spark, sf_dir), path)
@@ -369,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "processed_core_columns": processed_core_columns,
     "csv_roundtrip_extracted": csv_roundtrip_extracted,
     "ground_truth_csv": ground_truth_csv,
+    "csv_rejects": csv_rejects,
+    "csv_rejects_kept": csv_rejects_kept,
     "quarantine_runs": quarantine_runs,
     "csv_source_checked": csv_source_checked,
     "export_processed": export_processed,

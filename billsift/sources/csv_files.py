@@ -81,6 +81,42 @@ def read_csv(
     return rows.withColumns(texts)
 
 
+CORRUPT = "_corrupt_record"
+REJECT_REASON = "line does not parse as the header's columns and types"
+
+
+def read_csv_split(
+    spark: SparkSession, path: str, schema: T.StructType, staging: str, required: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Records that parse, and the lines that do not, from one read of the files.
+
+    The header is checked as in ``read_csv``. Lines are parsed leniently: a line whose
+    values do not fit the columns' types is kept whole in a corrupt-record column
+    instead of ending the job. The parse is written once to ``staging`` (in the shared
+    folder), so the files are read once and both parts come from the same parse.
+    Rejects are ``source_path, line, reason``; one bad line never stops the batch.
+    """
+    header = header_of(spark, path)
+    require_columns(header, required if required is not None else schema.fieldNames())
+    kinds = {field.name: field.dataType for field in schema.fields}
+    found = T.StructType([T.StructField(name, kinds.get(name, T.StringType()), True) for name in header])
+    options = {**_FORMAT, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = (
+        spark.read.options(**options)
+        .schema(found.add(CORRUPT, T.StringType()))
+        .csv(path)
+        .withColumn("_source_path", F.input_file_name())
+    )
+    parsed.write.parquet(staging)
+    rows = spark.read.parquet(staging)
+    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_path")
+    texts = {f.name: _unescaped(F.col(f.name)) for f in found.fields if isinstance(f.dataType, T.StringType) and f.name != CORRUPT}
+    bad = rows.where(F.col(CORRUPT).isNotNull()).select(
+        F.col("_source_path").alias("source_path"), F.col(CORRUPT).alias("line"), F.lit(REJECT_REASON).alias("reason")
+    )
+    return good.withColumns(texts), bad
+
+
 def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
     """Extracted records; only the columns a load cannot do without are required."""
     return read_csv(spark, path, schemas.PROCESSED, schemas.REQUIRED_COLUMNS)

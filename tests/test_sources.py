@@ -176,3 +176,19 @@ def test_item_table_of_a_large_order_keeps_every_line_in_order(spark):
     assert rows[0] == ITEM_HEADER and len(rows) == n + 1
     assert rows[1] == f"part {n - 1}  2  1,234.50  2,469.00" and rows[-1] == "part 0  2  1,234.50  2,469.00"
     assert tables[8] == ITEM_HEADER + "\n  1  5.00  5.00"
+
+
+def test_bad_csv_lines_are_set_apart_not_fatal(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from billsift.sources.csv_files import REJECT_REASON, read_csv_split
+
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text('n,name,amount\n1,"a, b",1.5\n2,x,not a number\n3,y,\n4,"z",7\n')
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("name", T.StringType()), T.StructField("amount", T.DoubleType())])
+    good, bad = read_csv_split(spark, str(folder), schema, str(tmp_path / "staged"))
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "a, b", 1.5), (3, "y", None), (4, "z", 7.0)]
+    rejects = bad.collect()
+    assert [(r.line, r.reason) for r in rejects] == [("2,x,not a number", REJECT_REASON)]
+    assert rejects[0].source_path.endswith("part-0.csv")
