@@ -61,6 +61,30 @@ def conform(records: DataFrame) -> DataFrame:
     return records.select(*columns)
 
 
+def rejected_values(records: DataFrame) -> DataFrame:
+    """``source_file, field, raw``: values that are given but do not cast to the table's type.
+
+    ``conform`` turns such a value into NULL; this names it instead of letting it
+    vanish. One projection over the records, no shuffle: every field of every row is
+    looked at. Empty or blank texts count as no value, not as a reject.
+    """
+    given = set(records.columns)
+    checks = []
+    for field in schemas.EXTRACTED.fields:
+        if field.name not in given or field.name == "source_file":
+            continue
+        raw = F.col(field.name)
+        lost = raw.isNotNull() & _typed(records, field).isNull()
+        if isinstance(records.schema[field.name].dataType, T.StringType):
+            lost = lost & (F.trim(raw) != "")
+        checks.append(F.when(lost, F.struct(F.lit(field.name).alias("field"), raw.cast("string").alias("raw"))))
+    source = F.col("source_file") if "source_file" in given else F.lit(None).cast("string")
+    found = F.filter(F.array(*checks), lambda check: check.isNotNull()) if checks else F.array().cast("array<struct<field:string,raw:string>>")
+    return records.select(source.alias("source_file"), F.explode(found).alias("_r")).select(
+        "source_file", F.col("_r.field").alias("field"), F.col("_r.raw").alias("raw")
+    )
+
+
 def with_surrogate_ids(rows: DataFrame, start: int = 0, path: str | None = None) -> DataFrame:
     """Number the rows ``start + 1, start + 2, …`` by file name.
 

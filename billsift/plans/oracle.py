@@ -378,6 +378,10 @@ ORACLES: dict[str, str] = {
     "csv_rejects": _processed(
         "CAST(id AS BIGINT) AS id, 'line does not parse as the header''s columns and types' AS reason", "WHERE id % 7 = 0"
     ),
+    "load_rejects": _processed(
+        "source_file, 'grand_total' AS field, 'n/a' AS raw",
+        "WHERE id % 5 = 0 UNION ALL SELECT source_file, 'validation_passed', 'maybe' FROM processed WHERE id % 11 = 0",
+    ),
     "csv_rejects_kept": _processed("CAST(id AS BIGINT) AS id, invoice_id, grand_total", "WHERE id % 7 <> 0"),
     "quarantine_runs": _facts(
         f"SELECT source_file, '{NO_TEXT}' AS reason, r AS run_id "

@@ -249,6 +249,18 @@ def csv_rejects_kept(spark, sf_dir):
     return records.select("id", "invoice_id", "grand_total")
 
 
+def load_rejects(spark, sf_dir):
+    """Values of a batch that the load cannot cast: every fifth total, every eleventh check."""
+    table = processed_table(spark, sf_dir)
+    batch = table.select(
+        "source_file",
+        "invoice_id",
+        F.when(F.col("id") % 5 == 0, F.lit("n/a")).otherwise(plain_number(F.col("grand_total"))).alias("grand_total"),
+        F.when(F.col("id") % 11 == 0, F.lit("maybe")).otherwise(F.col("validation_passed").cast("string")).alias("validation_passed"),
+    )
+    return load.rejected_values(batch)
+
+
 def ground_truth_csv(spark, sf_dir):
     path = new_path(spark, "truth-csv")
     csv_files.write_ground_truth_csv(truth_table(spark, sf_dir), path)
@@ -391,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_extracted": csv_roundtrip_extracted,
     "ground_truth_csv": ground_truth_csv,
     "csv_rejects": csv_rejects,
+    "load_rejects": load_rejects,
     "csv_rejects_kept": csv_rejects_kept,
     "quarantine_runs": quarantine_runs,
     "csv_source_checked": csv_source_checked,

@@ -187,3 +187,14 @@ def test_review_table_prunes_months_and_keeps_rows(spark, tmp_path):
     # Dynamic overwrite: writing April again replaces April only.
     tables.write_review_table(dated.where("month(invoice_dt) = 4"), path)
     assert tables.read_review_table(spark, path).count() == dated.count()
+
+
+def test_rejected_values_are_named(spark):
+    frame = spark.createDataFrame(
+        [("a.pdf", "1,234.50", "1", "x"), ("b.pdf", "n/a", "maybe", None), ("c.pdf", " ", None, "y"), (None, None, "2x", "z")],
+        "source_file string, grand_total string, validation_passed string, invoice_id string",
+    )
+    got = sorted((tuple(r) for r in load.rejected_values(frame).collect()), key=repr)
+    want = [("b.pdf", "grand_total", "n/a"), ("b.pdf", "validation_passed", "maybe"), (None, "validation_passed", "2x")]
+    assert got == sorted(want, key=repr)
+    assert load.rejected_values(frame.select("invoice_id")).count() == 0
