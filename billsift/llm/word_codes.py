@@ -7,7 +7,8 @@ only the first time a worker meets it. Whole texts give the library's ids exactl
 (tests compare them on all documents); the library itself is about twice as slow
 per byte, as it builds offsets and strings for every token.
 
-The memo holds at most ``MAX_WORDS`` words and drops its older half beyond that.
+The memo drops its older half once it holds more than ``MAX_WORDS`` words, before a
+text's words are looked up, so it never holds more than that plus one text's words.
 """
 
 from __future__ import annotations
@@ -60,11 +61,11 @@ class WordCodes:
             return np.zeros(0, np.uint32)
         words = self._words(text)
         memo = self.memo
+        if len(memo) > MAX_WORDS:  # drop the older half before this text's words are looked up
+            for key in list(memo)[: len(memo) // 2]:
+                del memo[key]
         new = list({w for w in words if w not in memo})
         if new:
-            if len(memo) + len(new) > MAX_WORDS:
-                for key in list(memo)[: len(memo) // 2]:
-                    del memo[key]
             encode = self.tokenizer.encode
             for word in new:
                 memo[word] = tuple(encode(word, add_special_tokens=False).ids)

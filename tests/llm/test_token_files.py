@@ -76,3 +76,15 @@ def test_query_on_the_documents(spark, sf_dir):
     got = rows_of(registry.QUERIES["op13_token_files"](spark, sf_dir))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert got == brute([(r.doc_id, r.text) for r in docs])
+
+
+def test_word_memo_drops_old_words_and_stays_exact(monkeypatch):
+    from billsift.llm import word_codes
+
+    monkeypatch.setattr(word_codes, "MAX_WORDS", 8)
+    codes = WordCodes(PATH)
+    library = Tokenizer.from_file(PATH)
+    texts = [" ".join(f"w{i}x{k}" for k in range(6)) for i in range(30)] + ["w0x1 w29x5 new words here again"]
+    for text in texts * 2:
+        assert list(codes.encode(text)) == library.encode(text, add_special_tokens=False).ids
+        assert len(codes.memo) <= 8 + 6
