@@ -10,9 +10,10 @@ Method (associative fragment monoid): the byte range is cut into chunks of
 cut), its closed groups, and its open suffix (tokens after its last cut), or one open
 run if no cut falls in it. Two fragments compose associatively (the suffix of the
 left and the prefix of the right close into one group), so the fragments of a long
-document are reduced as a balanced tree, never as one quadratic pass. Links are the
-elementary segments between the union of both streams' token ends, each lying in
-exactly one A and one B token.
+document are reduced as a balanced tree, never as one quadratic pass. The groups, their
+text and the links are read from the one fragment that is left; a chunk sees no token
+beyond its own. Links are the elementary segments between the union of both streams'
+token ends, each lying in exactly one A and one B token.
 
 Corpus statistics are Spark aggregates: each document's distinct linked id pairs are
 counted over all documents (partial aggregation before the shuffle), each A id's
@@ -31,8 +32,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,29 +107,52 @@ def _b_model(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[byte
 
 
 class Fragment:
-    """Token ends of a byte range, read as: open prefix, closed groups, open suffix.
+    """Tokens of a byte range, read as: open prefix, closed groups, open suffix.
 
-    A fragment holds the cut offsets that fall in its range; the tokens before its
-    first cut are its open prefix, those after its last cut its open suffix, and a
-    fragment without a cut is one open run. Composition concatenates the cuts: the
-    left suffix and the right prefix close into the group that ends at the right's
-    first cut. It is associative, so chunks are reduced as a balanced tree.
+    ``a`` and ``b`` are the ids of the range's tokens, ``n_a`` and ``n_b`` how many of
+    them each segment has. A range with k cuts has k + 1 segments: the first is the open
+    prefix, the last the open suffix, those between are closed groups. Without a cut
+    there is one segment, an open run.
     """
 
-    __slots__ = ("cuts",)
+    __slots__ = ("a", "b", "n_a", "n_b")
 
-    def __init__(self, cuts: np.ndarray):
-        self.cuts = cuts
+    def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+        self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
+
+    @property
+    def prefix(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.a[: self.n_a[0]], self.b[: self.n_b[0]]
+
+    @property
+    def suffix(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.a[len(self.a) - self.n_a[-1] :], self.b[len(self.b) - self.n_b[-1] :]
 
     def __add__(self, right: Fragment) -> Fragment:
-        return Fragment(np.concatenate([self.cuts, right.cuts]))
+        """The left suffix and the right prefix become one segment: a closed group if
+        both sides have a cut, else a longer prefix, suffix or open run."""
+        seam = lambda x, y: np.concatenate([x[:-1], [x[-1] + y[0]], y[1:]])
+        return Fragment(
+            np.concatenate([self.a, right.a]), np.concatenate([self.b, right.b]),
+            seam(self.n_a, right.n_a), seam(self.n_b, right.n_b),
+        )
+
+
+def _segments(ends: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many tokens end up to the first cut, between cuts, and after the last."""
+    upto = np.empty(len(cuts) + 2, np.int64)
+    upto[0], upto[-1] = 0, len(ends)
+    upto[1:-1] = ends.searchsorted(cuts, side="right")
+    return upto[1:] - upto[:-1]
 
 
-def chunk_fragment(a_ends: np.ndarray, b_ends: np.ndarray, lo: int, hi: int) -> Fragment:
-    """The fragment of the tokens whose end lies in (lo, hi]."""
-    a0, a1 = np.searchsorted(a_ends, [lo, hi], side="right")
-    b0, b1 = np.searchsorted(b_ends, [lo, hi], side="right")
-    return Fragment(np.intersect1d(a_ends[a0:a1], b_ends[b0:b1]))
+def chunk_fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, lo: int, hi: int) -> Fragment:
+    """The fragment of the range (lo, hi] from the tokens that end in it, and their ends."""
+    is_a, is_b = np.zeros(hi - lo + 1, bool), np.zeros(hi - lo + 1, bool)
+    is_a[a_ends - lo] = True
+    is_b[b_ends - lo] = True
+    cuts = np.flatnonzero(is_a & is_b) + lo
+    return Fragment(a, b, _segments(a_ends, cuts), _segments(b_ends, cuts))
 
 
 def reduce_tree(fragments: list[Fragment]) -> Fragment:
@@ -138,70 +162,111 @@ def reduce_tree(fragments: list[Fragment]) -> Fragment:
     return fragments[0]
 
 
+COMMA, BAR, END = range(3)
+
+
+@cache
+def _words(size: int) -> list[bytes]:
+    """Decimal ids below ``size`` with each separator behind them: id + size * separator."""
+    return [b"%d%s" % (number, sep) for sep in (b",", b"|", b";") for number in range(size)]
+
+
 class Groups:
-    """Groups of both token streams between consecutive cuts."""
+    """The groups of a whole text, from its fragment.
+
+    A whole text starts and ends at a cut, so its prefix is the first group and its
+    suffix is empty.
+    """
 
-    def __init__(self, a_ids, a_ends, b_ids, b_ends, cuts):
-        self.a_ids, self.b_ids, self.cuts = a_ids, b_ids, cuts
-        self.a_group = np.searchsorted(cuts, a_ends, side="left")
-        self.b_group = np.searchsorted(cuts, b_ends, side="left")
+    def __init__(self, fragment: Fragment):
+        if fragment.n_a[-1] or fragment.n_b[-1]:
+            raise ValueError("tokens after the last cut of a whole text")
+        self.a, self.b, self.n_a, self.n_b = fragment.a, fragment.b, fragment.n_a[:-1], fragment.n_b[:-1]
 
     def __len__(self) -> int:
-        return len(self.cuts)
+        return len(self.n_a)
 
-    def text(self) -> str:
+    def text(self, size: int = 1 << 16) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: decimal ids, A before B in each group, groups in order."""
-        group = np.concatenate([self.a_group, self.b_group])
-        side = np.concatenate([np.zeros(len(self.a_ids), np.int8), np.ones(len(self.b_ids), np.int8)])
-        ids = np.concatenate([self.a_ids, self.b_ids])
-        order = np.lexsort((np.arange(len(ids)), side, group))
-        group, side, ids = group[order], side[order], ids[order]
-        seps = np.where(group[1:] != group[:-1], ";", np.where(side[1:] != side[:-1], "|", ","))
-        words = ids.astype(str).astype(object)
-        out = np.empty(2 * len(words) - 1, dtype=object)
-        out[0::2], out[1::2] = words, seps
-        return "".join(out.tolist())
+        a_upto, b_upto = np.cumsum(self.n_a), np.cumsum(self.n_b)
+        a_at = np.arange(len(self.a)) + np.repeat(b_upto - self.n_b, self.n_a)
+        b_at = np.arange(len(self.b)) + np.repeat(a_upto, self.n_b)
+        words = np.empty(len(self.a) + len(self.b), np.int64)
+        words[a_at], words[b_at] = self.a, self.b
+        words[a_upto + b_upto - self.n_b - 1] += BAR * size
+        words[a_upto + b_upto - 1] += END * size
+        return b"".join(map(_words(size).__getitem__, words.tolist()))[:-1]
+
+    def links(self, a_table: ByteTable, b_table: ByteTable) -> np.ndarray:
+        """Linked id pairs, packed, one per elementary segment."""
+        a_ends, b_ends = a_table.ends(self.a), b_table.ends(self.b)
+        is_end = np.zeros(a_ends[-1] + 1, bool)
+        is_end[a_ends] = is_end[b_ends] = True
+        segments = np.flatnonzero(is_end)
+        return (self.a[np.searchsorted(a_ends, segments)] << PAIR_BITS) | self.b[np.searchsorted(b_ends, segments)]
 
 
 def align(text: str | None, a_path: str, b_path: str, chunk: int = CHUNK_BYTES):
     """(a_ids, b_ids, groups, link pairs) of one text, or None if it has no tokens."""
     if not text:
         return None
-    whole = np.frombuffer((" " + text).encode(), np.uint8)
+    spaced = " " + text
+    whole = np.frombuffer(spaced.encode(), np.uint8)
     a_table, b_table = _tables(a_path, b_path)
-    a_ids = word_codes(a_path, True).encode(" " + text).astype(np.int64)
-    b_ids = np.asarray(_b_model(b_path)[0].encode(text), np.int64)
+    a_ids = word_codes(a_path, True).encode(spaced).astype(np.int64)
+    b_ids = np.array(_b_model(b_path)[0].encode(text), np.int64)
     a_ends, b_ends = a_table.ends(a_ids), b_table.ends(b_ids)
     if not a_table.spells(a_ids, a_ends, whole) or not b_table.spells(b_ids, b_ends, whole):
         return None
-    fragments = [chunk_fragment(a_ends, b_ends, lo, min(lo + chunk, len(whole))) for lo in range(0, len(whole), chunk)]
-    groups = Groups(a_ids, a_ends, b_ids, b_ends, reduce_tree(fragments).cuts)
-    segments = np.union1d(a_ends, b_ends)
-    links = (a_ids[np.searchsorted(a_ends, segments)] << PAIR_BITS) | b_ids[np.searchsorted(b_ends, segments)]
-    return a_ids, b_ids, groups, links
+    bounds = np.append(np.arange(0, len(whole), chunk), len(whole))
+    a_at, b_at = (np.searchsorted(ends, bounds, side="right") for ends in (a_ends, b_ends))
+    fragments = [
+        chunk_fragment(a_ids[a0:a1], a_ends[a0:a1], b_ids[b0:b1], b_ends[b0:b1], lo, hi)
+        for lo, hi, a0, a1, b0, b1 in zip(
+            *(x.tolist() for x in (bounds[:-1], bounds[1:], a_at[:-1], a_at[1:], b_at[:-1], b_at[1:])), strict=True)
+    ]
+    groups = Groups(reduce_tree(fragments))
+    return groups.a, groups.b, groups, groups.links(a_table, b_table)
 
 
 def groups_text(groups) -> str:
     """The groups' text, from ``Groups`` or from a list of (A ids, B ids) pairs."""
     if isinstance(groups, Groups):
-        return groups.text()
+        return groups.text().decode()
     return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    """A column of lists of long."""
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int64), *arrays]))
+
+
 def _aligner(a_path: str, b_path: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row, doc_id, text in zip(frame["row"], frame["doc_id"], frame["text"], strict=True):
-                found = align(text if isinstance(text, str) else None, a_path, b_path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = np.zeros(0, np.int64)
+        for batch in batches:
+            sizes, digests, pairs, repeats = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = align(text, a_path, b_path)
                 if found is None:
-                    out.append((row, doc_id, 0, 0, 0, "", [], []))
+                    sizes.append((0, 0, 0))
+                    digests.append("")
+                    pairs.append(nothing)
+                    repeats.append(nothing)
                     continue
                 a_ids, b_ids, groups, links = found
-                pairs, repeats = np.unique(links, return_counts=True)
-                digest = hashlib.sha256(groups_text(groups).encode()).hexdigest()
-                out.append((row, doc_id, len(a_ids), len(b_ids), len(groups), digest, pairs.tolist(), repeats.tolist()))
-            yield pd.DataFrame(out, columns=["row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "repeats"])
+                distinct, times = np.unique(links, return_counts=True)
+                sizes.append((len(a_ids), len(b_ids), len(groups)))
+                digests.append(hashlib.sha256(groups.text()).hexdigest())
+                pairs.append(distinct)
+                repeats.append(times)
+            counts = np.array(sizes, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), *(pa.array(counts[:, k].copy()) for k in range(3)),
+                 pa.array(digests, pa.string()), _lists(pairs), _lists(repeats)],
+                names=["row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "repeats"],
+            )
 
     return run
 
@@ -215,7 +280,7 @@ def alignment(docs: DataFrame, a_path: str | None = None, b_path: str | None = N
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    aligned = kept(rows.mapInPandas(_aligner(a_path, b_path), ALIGNED), "alignment-docs")
+    aligned = kept(rows.mapInArrow(_aligner(a_path, b_path), ALIGNED), "alignment-docs")
     held = aligned.select("row", F.posexplode("pairs").alias("k", "pair"), "repeats").select(
         "row", "pair", F.col("repeats")[F.col("k")].alias("repeat")
     )

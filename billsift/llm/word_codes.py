@@ -1,28 +1,34 @@
-"""Token ids of the tokenizers library for a byte-level BPE file, one word at a time.
+"""Token ids of the tokenizers library for a byte-level BPE file, by remembered runs.
 
 A byte-level BPE splits a text before any merge: first at its added special tokens,
-then by the pre-tokenizer's pattern. Merges never cross such a split, so the ids of a
-text are the ids of its words one after the other, and a word is encoded by the library
-only the first time a worker meets it. Whole texts give the library's ids exactly
-(tests compare them on all documents); the library itself is about twice as slow
-per byte, as it builds offsets and strings for every token.
+then by the pre-tokenizer's pattern. No match of the pattern goes from a solid character
+on to white space, and none that ends in white space looks beyond the next solid
+character. So the ids of a text are the ids of its runs (white space and the solid
+characters after it) one after the other, and a run is encoded by the library only the
+first time a worker meets it; the new runs of a text go to the library as one text,
+whose ids are cut by their bytes. Whole texts give the library's ids exactly (tests
+compare them on all documents). The four ASCII separators, which not every regex library
+counts as white space, keep a text in one run.
 
-The memo drops its older half once it holds more than ``MAX_WORDS`` words, before a
-text's words are looked up, so it never holds more than that plus one text's words.
+The memo drops its older half once it holds more than ``MAX_WORDS`` runs, before a
+text is looked up, so it never holds more than that plus one text's runs. Runs longer
+than ``MAX_RUN`` are not remembered.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import cache
-from itertools import chain
 
 import numpy as np
-import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
 MAX_WORDS = 1 << 19
+MAX_RUN = 64
+RUNS = re.compile(r"\s*\S+|\s+")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 class WordCodes:
@@ -30,46 +36,57 @@ class WordCodes:
 
     def __init__(self, path: str, special_as_text: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_as_text
+        self.tokenizer.encode_special_tokens = True  # ``split`` takes them out of texts before
         spec = json.loads(open(path, encoding="utf-8").read())
         pre = spec.get("pre_tokenizer") or {}
         if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError("only byte-level files without normaliser or prefix space")
-        self.words = regex.compile(public_tokenizers.PATTERN)
         specials = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
         self.special_ids = {t: self.tokenizer.token_to_id(t) for t in specials}
         self.split = None
         if specials and not special_as_text:
             alternatives = "|".join(regex.escape(t) for t in sorted(specials, key=len, reverse=True))
             self.split = regex.compile(f"({alternatives})")
-        self.memo: dict[str, tuple[int, ...]] = {}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: one per character
+        self.lengths[list(vocab.values())] = list(map(len, vocab))
+        self.memo: dict[str, bytes] = {}  # ids of runs, as bytes of uint32
 
-    def _words(self, text: str) -> list[str]:
-        if self.split is None:
-            return self.words.findall(text)
-        out: list[str] = []
-        for k, part in enumerate(self.split.split(text)):
-            if k % 2:
-                out.append(part)
-            elif part:
-                out.extend(self.words.findall(part))
-        return out
+    def _new(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of runs in the order of their text, by one call of the library."""
+        ids = np.array(self.tokenizer.encode("".join(runs), add_special_tokens=False).ids, np.uint32)
+        ends = np.cumsum(self.lengths[ids])
+        bounds = np.cumsum([len(run.encode()) for run in runs])
+        at = np.searchsorted(ends, bounds, side="right")
+        if len(ids) != at[-1] or not np.array_equal(ends[at - 1], bounds):
+            # A vocabulary without some bytes drops them, so bytes do not tell the runs apart.
+            return {run: np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, np.uint32).tobytes() for run in runs}
+        packed, at = ids.tobytes(), (at * ids.itemsize).tolist()
+        return {run: packed[lo:hi] for run, lo, hi in zip(runs, [0, *at[:-1]], at, strict=True)}
+
+    def _part(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        runs = [text] if any(c in text for c in SEPARATORS) else RUNS.findall(text)
+        memo = self.memo
+        found = list(map(memo.get, runs))
+        if None in found:
+            new = self._new(list(dict.fromkeys(run for run, ids in zip(runs, found, strict=True) if ids is None)))
+            found = [new[run] if ids is None else ids for run, ids in zip(runs, found, strict=True)]
+            memo.update((run, ids) for run, ids in new.items() if len(run) <= MAX_RUN)
+        return b"".join(found)
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text as uint32; a null text has none."""
         if not text:
             return np.zeros(0, np.uint32)
-        words = self._words(text)
-        memo = self.memo
-        if len(memo) > MAX_WORDS:  # drop the older half before this text's words are looked up
-            for key in list(memo)[: len(memo) // 2]:
-                del memo[key]
-        new = list({w for w in words if w not in memo})
-        if new:
-            encode = self.tokenizer.encode
-            for word in new:
-                memo[word] = tuple(encode(word, add_special_tokens=False).ids)
-        return np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), np.uint32)
+        if len(self.memo) > MAX_WORDS:  # drop the older half before this text's runs are looked up
+            for run in list(self.memo)[: len(self.memo) // 2]:
+                del self.memo[run]
+        if self.split is None:
+            return np.frombuffer(self._part(text), np.uint32)
+        parts = self.split.split(text)
+        ids = [np.uint32(self.special_ids[p]).tobytes() if k % 2 else self._part(p) for k, p in enumerate(parts)]
+        return np.frombuffer(b"".join(ids), np.uint32)
 
 
 @cache

@@ -77,6 +77,36 @@ def test_small_chunks_give_the_same_groups():
         assert alignment.groups_text(got[2]) == alignment.groups_text(whole[2])
 
 
+def _chunks(text, chunk):
+    """Fragments of a text's chunks, each from the ids and ends of its own tokens only."""
+    a, b, _, _ = alignment.align(text, A, B)
+    (a_ends, b_ends), size = (t.ends(i) for t, i in zip(alignment._tables(A, B), (a, b))), len((" " + text).encode())
+    for lo in range(0, size, chunk):
+        hi = min(lo + chunk, size)
+        mine = [(ids[(ends > lo) & (ends <= hi)], ends[(ends > lo) & (ends <= hi)]) for ids, ends in ((a, a_ends), (b, b_ends))]
+        yield alignment.chunk_fragment(*mine[0], *mine[1], lo, hi)
+
+
+def test_fragments_compose_from_prefix_groups_and_suffix():
+    text = "Hello wörld, 日本語 text internationalization of electroencephalographically \U0001F642 " * 5
+    whole = walk(text)[2]
+    for chunk in (1, 2, 5, 64):
+        fragments = list(_chunks(text, chunk))
+        left = fragments[0]
+        for fragment in fragments[1:]:
+            closes = (*left.suffix, *fragment.prefix)
+            joined = left + fragment
+            if len(left.n_a) > 1 and len(fragment.n_a) > 1:  # suffix and prefix close into one group
+                k = len(left.n_a) - 1
+                assert joined.n_a[k] == len(closes[0]) + len(closes[2]) and joined.n_b[k] == len(closes[1]) + len(closes[3])
+            left = joined
+        right = fragments[-1]
+        for fragment in fragments[-2::-1]:
+            right = fragment + right
+        for got in (left, right, alignment.reduce_tree(fragments)):
+            assert alignment.groups_text(alignment.Groups(got)) == alignment.groups_text(whole)
+
+
 def test_query_on_the_documents(spark, sf_dir):
     from billsift.llm import registry
 
