@@ -5,7 +5,7 @@ values are the ground truth for the extraction. All per-order values are sums,
 counts and minima, which Spark combines before the shuffle, so an order that
 holds a large share of all lines costs one row per map task and no more.
 
-Layouts 0, 3, 5 and 7 print the order's item table between the buyer and the
+Layouts 0, 3, 5 and, if recognised, 7 print the order's item table between the buyer and the
 totals (``item_tables``). Its rows are assembled in two levels: lines into blocks
 of ``ITEM_BLOCK_LINES`` by (order, line_no div block), then blocks into the table,
 so no group holds more than one block of lines or one order's block texts, and
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 GST_RATE = "0.18"
 LAYOUTS = 8
-ITEM_LAYOUTS = (0, 3, 5, 7)
+PLAIN_LAYOUTS = (1, 2, 4, 6)  # the other layouts print items
+SCANNED_LAYOUT = 7
 ITEM_BLOCK_LINES = 512
 ITEM_HEADER = "Description  Qty  Unit Price (Rs.)  Amount (Rs.)"
 MONEY = "decimal(18,2)"
@@ -29,6 +30,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _layout(key: Column) -> Column:
+    return (key % LAYOUTS).cast("int")
+
+
+def _recognised(key: Column) -> Column:
+    """Whether a scanned order has recognised text."""
+    return key % 16 == 7
+
+
+def _prints_items(key: Column) -> Column:
+    """Whether an order's item table is in a text; the lines of others are not assembled."""
+    layout = _layout(key)
+    return ~layout.isin(*PLAIN_LAYOUTS) & ((layout != SCANNED_LAYOUT) | _recognised(key))
+
+
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per invoice line: description, quantity, unit price and amount.
 
@@ -109,7 +125,7 @@ def invoice_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("doc_id")
     number = F.lpad(key.cast("string"), 12, "0")
     year = F.date_format("issued", "yyyy")
-    layout = (key % LAYOUTS).cast("int")
+    layout = _layout(key)
     return (
         orders.join(totals, orders.o_orderkey == totals.doc_id, "left")
         .drop("doc_id")
@@ -266,11 +282,11 @@ def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text instead, the others (and orders without lines) are unreadable. Every
     fiftieth order is sent in twice, under a later file name.
     """
-    facts = invoice_facts(spark, sf_dir).join(item_tables(line_items(spark, sf_dir)), "doc_id", "left")
+    lines = line_items(spark, sf_dir).filter(_prints_items(F.col("doc_id")))
+    facts = invoice_facts(spark, sf_dir).join(item_tables(lines), "doc_id", "left")
     rendered = _render(facts)
     copies = F.when(F.col("doc_id") % 50 == 0, F.array(F.lit(""), F.lit("_b"))).otherwise(F.array(F.lit("")))
-    scanned = F.col("layout") == 7
-    recognised = F.col("doc_id") % 16 == 7
+    scanned, recognised = F.col("layout") == SCANNED_LAYOUT, _recognised(F.col("doc_id"))
     return rendered.withColumn("copy", F.explode(copies)).select(
         "doc_id",
         F.concat(F.lit("doc_"), F.col("number"), F.col("copy"), F.lit(".pdf")).alias("source_file"),

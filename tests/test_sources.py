@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from billsift import schemas
 from billsift.operators import load
 from billsift.session import new_path, shared_root
-from billsift.sources import csv_files, documents, tables
+from billsift.sources import corpus, csv_files, documents, tables
 
 
 def test_text_folder(spark, tmp_path):
@@ -192,3 +192,25 @@ def test_bad_csv_lines_are_set_apart_not_fatal(spark, tmp_path):
     rejects = bad.collect()
     assert [(r.line, r.reason) for r in rejects] == [("2,x,not a number", REJECT_REASON)]
     assert rejects[0].source_path.endswith("part-0.csv")
+
+
+def test_lines_that_no_text_prints_are_not_assembled(spark, tmp_path, monkeypatch):
+    keys = [*range(-17, 33)]
+    tables = {
+        "orders": ([(k, 1, "1995-03-04") for k in keys], "o_orderkey long, o_custkey long, o_orderdate string"),
+        "lineitem": (
+            [(k, 1, 1, n, 2.0, 10.0 * n) for k in keys for n in (1, 2)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double",
+        ),
+        "part": ([(1, "bolt")], "p_partkey long, p_name string"),
+        "supplier": ([(1, "Maker")], "s_suppkey long, s_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    documents = corpus.invoice_documents(spark, str(tmp_path))
+    assembled = corpus.line_items(spark, str(tmp_path)).filter(corpus._prints_items(F.col("doc_id")))
+    found = {tuple(r) for r in documents.collect()}
+    printed = {r[0] for r in found if corpus.ITEM_HEADER in (r[2] + (r[3] or ""))}
+    assert {r.doc_id for r in assembled.select("doc_id").collect()} == printed and len(printed) < len(keys)
+    monkeypatch.setattr(corpus, "_prints_items", lambda key: F.lit(True))
+    assert found == {tuple(r) for r in corpus.invoice_documents(spark, str(tmp_path)).collect()}
