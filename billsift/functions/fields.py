@@ -7,6 +7,9 @@ regex runs on every text, with the same result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,7 +78,7 @@ def tax_components(text: Column, folded: Column | None = None) -> Column:
         F.regexp_extract_all(text, F.lit(labels.COMPONENT_TAIL), F.lit(group)) for group in (1, 0)
     )
     if folded is not None:
-        possible = F.contains(folded, F.lit(labels.COMPONENT_ANCHOR))
+        possible = reduce(or_, (F.contains(folded, F.lit(anchor)) for anchor in labels.COMPONENT_ANCHORS))
         first_letters, rest = (F.when(possible, found).otherwise(F.array()) for found in (first_letters, rest))
     lines = F.zip_with(first_letters, rest, lambda letters, tail: F.concat(letters, tail))
     return F.filter(F.transform(lines, _component), lambda c: c["amount"].isNotNull())

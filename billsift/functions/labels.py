@@ -113,10 +113,15 @@ def date_pattern(label: str, date: str) -> str:
 
 
 class Labelled(NamedTuple):
-    """A regex and a lower-case text without which it cannot match ('' for any)."""
+    """A regex and a lower-case text without which it cannot match ('' for any).
+
+    ``head`` is a lower-case text that every match starts with ('' for any); such a
+    regex does not look at what is before its match.
+    """
 
     anchor: str
     regex: str
+    head: str = ""
 
 
 def anchor_of(label: str) -> str:
@@ -125,25 +130,34 @@ def anchor_of(label: str) -> str:
     return max(re.findall("[a-z]+", fixed.lower()), key=len)
 
 
+def head_of(label: str) -> str:
+    """The letters that every spelling of the label starts with ('' if the first vary)."""
+    letters = re.match("[A-Za-z]*", label).group().lower()
+    return letters[:-1] if label[len(letters) : len(letters) + 1] in ("?", "*", "{") else letters
+
+
 def _bank(build, *label_lists: list[str]) -> list[Labelled]:
-    return [Labelled(anchor_of(label), build(label)) for labels in label_lists for label in labels]
+    return [Labelled(anchor_of(label), build(label), head_of(label)) for labels in label_lists for label in labels]
 
 
 INVOICE_ID_BANK = _bank(id_pattern, INVOICE_ID_LABELS)
 SUBTOTAL_BANK = _bank(amount_pattern, SUBTOTAL_LABELS)
-GRAND_TOTAL_BANK = _bank(amount_pattern, GRAND_TOTAL_LABELS) + _bank(bare_amount_pattern, [BARE_TOTAL_LABEL])
+GRAND_TOTAL_BANK = _bank(amount_pattern, GRAND_TOTAL_LABELS) + [
+    Labelled(anchor_of(BARE_TOTAL_LABEL), bare_amount_pattern(BARE_TOTAL_LABEL))  # looks for its line's start
+]
 # "Invoice Date" needs no entry of its own: it ends in "Date".
 DATE_BANK = [
-    Labelled("date", date_pattern("Date", NUMERIC_DATE)),
-    Labelled("date", date_pattern("Date", rf"\d{{1,2}}{BLANK}++{WORD}++{BLANK}++\d{{4}}")),
-    Labelled("date", date_pattern("Dated?", NUMERIC_DATE)),
+    Labelled("date", date_pattern("Date", NUMERIC_DATE), "date"),
+    Labelled("date", date_pattern("Date", rf"\d{{1,2}}{BLANK}++{WORD}++{BLANK}++\d{{4}}"), "date"),
+    Labelled("date", date_pattern("Dated?", NUMERIC_DATE), "date"),
     Labelled("", rf"(?U)(?<!{WORD})({BARE_DATE})(?!{WORD})"),
 ]
 CGST_BANK = _bank(rated_amount_pattern, CGST_LABELS)
 SGST_BANK = _bank(rated_amount_pattern, SGST_LABELS)
 IGST_BANK = _bank(rated_amount_pattern, IGST_LABELS)
 GENERIC_TAX_BANK = _bank(bracketed_rate_pattern, [GENERIC_GST_LABEL]) + _bank(amount_pattern, GENERIC_TAX_LABELS)
-COMPONENT_ANCHOR = anchor_of(GENERIC_GST_LABEL)
+# Every component label ends in one of these.
+COMPONENT_ANCHORS = ["cgst", "sgst", "igst", "tgst"]
 
 # What follows the first component label of a line, up to the line's end; group 1
 # is the letters before "GST". Every further label of the line is inside. The

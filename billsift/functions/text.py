@@ -38,24 +38,32 @@ def fold(text: Column) -> Column:
     """Lower-case text in which a part of a label can be looked for.
 
     A case-insensitive regex takes four letters beyond ASCII for i, s or k;
-    here they are those letters, so a label missing here cannot match there.
+    here they are those letters, so a label missing here cannot match there. ASCII
+    texts have none of them and are not searched for them.
     """
-    folded = F.lower(text)
+    lower = folded = F.lower(text)
     for letter, plain in (("i\u0307", "i"), ("\u0131", "i"), ("\u017f", "s"), ("\u212a", "k")):
         folded = F.replace(folded, F.lit(letter), F.lit(plain))
-    return folded
+    return F.when(F.octet_length(text) == F.char_length(text), lower).otherwise(folded)
 
 
 def regex_hit(text: Column, pattern: labels.Labelled, build, folded: Column | None = None) -> Column:
     """``build(group 1)`` if the pattern is found in the text, else NULL.
 
     With ``folded`` given, the regex runs only on texts that contain its
-    anchor; a byte search costs a small part of a regex search.
+    anchor, and from the first place on where its head stands; a byte search costs a
+    small part of a regex search. No place in ``folded`` is later than in the text,
+    since folding lengthens none.
     """
-    hit = bind(F.regexp_extract(text, pattern.regex, 1), lambda m: F.when(m != "", build(m)))
+    started = folded is not None and pattern.head
+    searched = F.substr(text, F.locate(pattern.head, folded)) if started else text
+    hit = bind(F.regexp_extract(searched, pattern.regex, 1), lambda m: F.when(m != "", build(m)))
     if folded is None or not pattern.anchor:
         return hit
-    return F.when(F.contains(folded, F.lit(pattern.anchor)), hit)
+    possible = F.contains(folded, F.lit(pattern.anchor))
+    if started and pattern.head not in pattern.anchor:
+        possible = possible & F.contains(folded, F.lit(pattern.head))
+    return F.when(possible, hit)
 
 
 def first_match(text: Column, bank: list[labels.Labelled], folded: Column | None = None) -> Column:

@@ -10,7 +10,7 @@ import re
 from pyspark.sql import functions as F
 
 from billsift.functions import fields, labels
-from billsift.functions.text import fold
+from billsift.functions.text import first_match, fold
 
 PIECES = [
     "Invoice", "Tax Invoice", "No", "No.", "#", ":", "-", " ", "  ", "\n", "\t", "\u00a0", "Bill", "Ref", "Date",
@@ -110,3 +110,26 @@ def test_letters_a_regex_takes_for_ascii(spark):
     for plain in "abcdefghijklmnopqrstuvwxyz":
         odd = frame.filter(F.col("c").rlike(f"(?iU){plain}") & ~F.contains(fold(F.col("c")), F.lit(plain)))
         assert odd.isEmpty(), plain
+
+
+def test_heads_start_every_match(spark):
+    """A search that starts where a head stands finds what a search of the whole text does."""
+    banks = {
+        "invoice_id": labels.INVOICE_ID_BANK, "date": labels.DATE_BANK, "subtotal": labels.SUBTOTAL_BANK,
+        "total": labels.GRAND_TOTAL_BANK, "tax": labels.GENERIC_TAX_BANK,
+    }
+    assert [p.head for p in labels.SUBTOTAL_BANK] == ["sub", "total", "taxable", "amount", "subtotal"]
+    assert labels.GRAND_TOTAL_BANK[-1].head == "" and labels.head_of(r"Ab?c") == "a"
+    odd = ["", "i̇İı ſK", "i̇" * 9, "\U0001F642₹ total net amount tax ref bill date gst sub grand\n"]
+    lines = [
+        "Sub-Total: 5", "ſub total 5", "Taxİnvoice No A1", "TAX INVOıCE NO. A1", "Ref. No: B2", "Date: 1/2/2003",
+        "Dated 1 May 2003", "Total Amount Due 7", "Net Payable: 8", "Total: 9", "x Total: 9", "GST (18%): 4", "Tax Amount 3",
+        "Total  Before Tax: 6", "Taxable Value 6", "AMOUNT PAYABLE 2", "Output Tax: 1", "Bill No 77",
+    ]
+    texts = [a + line + b for a in odd for line in lines for b in ("", "\nTotal: 11\nSub Total 12")]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("folded", fold(F.col("text")))
+    text, folded = F.col("text"), F.col("folded")
+    both = [first_match(text, bank, f).alias(f"{n}_{k}") for n, bank in banks.items() for k, f in enumerate((None, folded))]
+    for row in frame.select("text", *both).collect():
+        for name in banks:
+            assert row[f"{name}_0"] == row[f"{name}_1"], (row["text"], name)
