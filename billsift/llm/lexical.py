@@ -28,7 +28,8 @@ Method (per-term geometric blocking):
    (ties by ascending doc_id) are returned.
 
 Every step is a join or an aggregate of DataFrames; nothing goes through the driver
-but N and L.
+but N and L. What two later steps read (impacts, seeds, summaries, passing clusters) is
+written once: a plan that is counted and then joined would read all postings twice.
 
 Null texts have no terms; rows without doc_id are not documents. Rows of one doc_id
 form one document (their terms are added up). Empty tables give no rows. Only doc_id,
@@ -56,14 +57,23 @@ SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K1_PER_MILLE, B_PERCENT = 800, 75
 
 
-def terms(text: Column) -> Column:
-    """The terms of a text, in order, repeats kept; none for null.
+def _pieces(text: Column) -> Column:
+    """The terms of a text, in order, repeats kept, with an empty piece where a separator begins or ends it.
 
     The maximal runs of the term class are the pieces between runs of its complement;
-    splitting is several times faster than extracting the matches one by one.
+    splitting is several times faster than extracting the matches one by one. In a text
+    of ASCII characters alone ``lower`` changes A-Z only, and is faster than ``translate``.
     """
-    folded = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.filter(F.split(folded, SEPARATOR), lambda t: t != "")
+    text = F.coalesce(text, F.lit(""))
+    folded = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    )
+    return F.split(folded, SEPARATOR)
+
+
+def terms(text: Column) -> Column:
+    """The terms of a text, in order, repeats kept; none for null."""
+    return F.filter(_pieces(text), lambda t: t != "")
 
 
 def _postings(docs: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
@@ -75,13 +85,13 @@ def _postings(docs: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFr
     are written once, as postings and length both come from them.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.explode_outer(terms(F.col("text"))).alias("raw")
-    )
+        F.col("doc_id").cast("long").alias("doc_id"), F.explode(_pieces(F.col("text"))).alias("raw")
+    ).withColumn("raw", F.nullif("raw", F.lit("")))
     asked = small(vocabulary.select(F.col("term").alias("raw"), F.lit(True).alias("_asked")))
     marked = rows.join(asked, "raw", "left")
     grouped = kept(
         marked.groupBy("doc_id", F.when(F.col("_asked"), F.col("raw")).alias("term")).agg(
-            F.count("raw").alias("tf"), F.min(F.xxhash64("raw")).alias("minhash")
+            F.count("raw").alias("tf"), F.min(F.when(F.col("raw").isNotNull(), F.xxhash64("raw"))).alias("minhash")
         ),
         "lexical-grouped",
     )
@@ -105,12 +115,12 @@ def _impacts(postings: DataFrame, documents: DataFrame, n_docs: int, length: int
     """term, doc_id, cluster, impact (> 0 only)."""
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * n_docs + 2)) / (F.lit(2.0) * F.col("df") + 1))).cast("long")
-    weights = df.select("term", weight.alias("w"))
+    weights = kept(df.select("term", weight.alias("w")), "lexical-weights")
     m = f"({100 - B_PERCENT} + ({B_PERCENT} * n * {n_docs}L) div {max(length, 1)}L)"
     part = F.expr(f"(1000000000L * tf) div (1000L * tf + {K1_PER_MILLE // 100}L * {m})")
     impacts = (
-        postings.join(weights, "term")
-        .join(documents, "doc_id")
+        postings.join(small(weights), "term")
+        .join(documents.hint("shuffle_hash"), "doc_id")
         .select("term", "doc_id", "cluster", (F.col("w") * part).alias("impact"))
         .where(F.col("impact") > 0)
     )
@@ -118,13 +128,13 @@ def _impacts(postings: DataFrame, documents: DataFrame, n_docs: int, length: int
 
 
 def _scores(queries: DataFrame, impacts: DataFrame, keep: DataFrame, on: list[str]) -> DataFrame:
-    """Exact scores of (item_id, doc_id) pairs whose ``on`` columns are in ``keep``.
+    """Exact scores of (item_id, doc_id) pairs whose ``on`` columns are in ``keep`` (distinct, written).
 
     Postings meet their queries and the kept keys in the task that reads them (both
     small sides are sent to all tasks after a count), so a skipped block's postings are
     dropped before any shuffle, and only partial sums per (item, document) move.
     """
-    hits = impacts.join(small(queries), "term").join(small(keep.select(*on).distinct()), on, "left_semi")
+    hits = impacts.join(small(queries), "term").join(small(keep), on, "left_semi")
     return hits.groupBy("item_id", "doc_id").agg(F.sum(F.col("q") * F.col("impact")).alias("score"))
 
 
@@ -147,12 +157,14 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFrame:
 
     by_impact = Window.partitionBy("term").orderBy(F.col("impact").desc(), F.col("doc_id"))
     tops = impacts.withColumn("_r", F.row_number().over(by_impact)).where(F.col("_r") <= SEED_DOCS)
-    seeds = queries.join(tops.select("term", "doc_id"), "term").select("item_id", "doc_id")
-    thresholds = _best(_scores(queries, impacts, seeds, ["item_id", "doc_id"]), k).groupBy("item_id").agg(
+    seeds = kept(queries.join(tops.select("term", "doc_id"), "term").select("item_id", "doc_id").distinct(), "lexical-seeds")
+    # Other documents' postings go before each is multiplied by the items that ask for its term.
+    seeded = impacts.join(small(seeds.select("doc_id").distinct()), "doc_id", "left_semi")
+    thresholds = _best(_scores(queries, seeded, seeds, ["item_id", "doc_id"]), k).groupBy("item_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(1)).alias("threshold")
     )
 
-    summaries = impacts.groupBy("term", "cluster").agg(F.max("impact").alias("summary"))
+    summaries = kept(impacts.groupBy("term", "cluster").agg(F.max("impact").alias("summary")), "lexical-summaries")
     peaks = summaries.groupBy("term").agg(F.max("summary").alias("peak"))
     upward = Window.partitionBy("item_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     weighted = (
@@ -162,14 +174,18 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFrame:
         .join(thresholds, "item_id", "left")
         .withColumn("threshold", F.coalesce(F.col("threshold"), F.lit(1)))
     )
-    essential = weighted.select("item_id", "term", "q", "threshold", (F.col("upto") >= F.col("threshold")).alias("essential"))
+    essential = kept(
+        weighted.select("item_id", "term", "q", "threshold", (F.col("upto") >= F.col("threshold")).alias("essential")),
+        "lexical-essential",
+    )
     bounds = (
-        essential.join(summaries, "term")
+        summaries.join(small(essential), "term")
         .groupBy("item_id", "cluster", "threshold")
         .agg(F.sum(F.col("q") * F.col("summary")).alias("bound"), F.max("essential").alias("essential"))
         .where(F.col("essential") & (F.col("bound") >= F.col("threshold")))
     )
-    best = _best(_scores(queries, impacts, bounds, ["item_id", "cluster"]), k)
+    passing = kept(bounds.select("item_id", "cluster"), "lexical-passing")
+    best = _best(_scores(queries, impacts, passing, ["item_id", "cluster"]), k)
     return best.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", F.col("score").cast("long").alias("score"))
 
 

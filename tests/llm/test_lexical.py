@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import regex
+from pyspark.sql import functions as F
 
 from billsift.llm import lexical
 
@@ -72,3 +73,25 @@ def test_ties_and_copies(spark):
 def test_empty_tables(spark, no_rows):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert lexical.search(no_rows, items).count() == 0
+
+
+def test_each_step_is_computed_once(spark, monkeypatch):
+    """What is counted and then joined is written before, so postings are read a fixed few times."""
+    plans = []
+    real = lexical.small
+
+    def noted(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return real(frame)
+
+    monkeypatch.setattr(lexical, "small", noted)
+    docs = spark.createDataFrame([(i, f"a b{i % 3} c{i % 7}") for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b1 c2"), (2, "c3 b2")], "item_id long, text string")
+    lexical.search(docs, items).collect()
+    assert plans and not [p for p in plans if "Window" in p or "Join" in p]
+
+
+def test_terms_of_ascii_and_other_texts(spark):
+    texts = ["ABC xYz", "", None, " lead", "trail ", "İI Ünï ÀB", "a\u0130B K\u212a", "--", "x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", lexical.terms(F.col("text")).alias("t")).collect()
+    assert [r.t for r in rows] == [terms(r.text) for r in rows]
