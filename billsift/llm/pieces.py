@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -32,12 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from billsift.llm.texts import mix
 from billsift.llm.vocabulary import BPE, SPACE, Vocabulary, vocabulary_of
 
-MAX_WORDS = 1 << 16  # encodings of words that a worker remembers
+MAX_WORDS = 1 << 19  # encodings of words that a worker remembers, beside those of the texts at hand
 PAIR_BITS = 19
+MANY_PAIRS = 256  # from here on pairs are tested together
+SLOT_BITS = 18
 ROWS = 1000  # texts encoded together
 _WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN = -2
+_NOT_YET = -2
 
 
 class Encoder:
@@ -57,10 +61,20 @@ class Encoder:
         first = np.ones(len(order), bool)
         first[1:] = heads[order][1:] != heads[order][:-1]
         order = order[first]
-        self.keys = heads[order]
-        self.number = np.where(whole[order], np.array([vocabulary.ids[n] for n in names], np.int64)[row[order]], -1)
+        self.keys = np.append(heads[order], np.uint64(2**64 - 1))
+        numbers = np.array([vocabulary.ids[n] for n in names], np.int64)[row[order]]
+        self.number = np.append(np.where(whole[order], numbers, -1), -1)
+        slots = np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS)
+        self.slots = np.searchsorted(self.keys, slots).astype(np.int32)  # first key of each slot
+        self.depth = int(np.diff(np.append(self.slots, len(self.keys) - 1)).max())
         self.codes = np.zeros((len(vocabulary.pieces), self.longest), np.uint32)
         self.codes[list(vocabulary.ids.values())] = codes
+        self.sizes = (self.codes > 0).sum(1)
+        self.hashes = self._prefixes(self.codes)[np.arange(len(self.codes)), self.sizes]
+        self.powers = np.array([pow(int(_BASE), n, 1 << 64) for n in range(self.longest + 1)], np.uint64)
+        self.blank = np.array([SPACE in p for p in vocabulary.pieces])
+        self.halves = np.full((2, len(vocabulary.pieces)), _NOT_YET, np.int64)  # -1: none
+        self.odd = np.zeros(len(vocabulary.pieces), bool)  # pieces whose merges need the strings
         self.scores = np.array(vocabulary.scores)
         self.text = [p.encode() for p in vocabulary.pieces]
         for byte, number in vocabulary.bytes.items():
@@ -84,6 +98,73 @@ class Encoder:
         row, size = np.nonzero(np.arange(1, self.longest + 1) <= sizes[:, None])
         return prefixes[row, size + 1] + (size + 1).astype(np.uint64), row, size + 1
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is among the sorted keys, or would be."""
+        at = self.slots[(keys >> np.uint64(64 - SLOT_BITS)).view(np.int64)]
+        for _ in range(self.depth):
+            at += self.keys[at] < keys
+        return at
+
+    def _joint(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that is both pieces in a row, or -1."""
+        n, m = self.sizes[left], self.sizes[right]
+        joint = np.full(len(left), -1, np.int64)
+        fits = np.flatnonzero(n + m <= self.longest)
+        left, right, n, m = left[fits], right[fits], n[fits], m[fits]
+        keys = self.hashes[left] * self.powers[m] + self.hashes[right] + (n + m).view(np.uint64)
+        at = self._find(keys)
+        hit = np.flatnonzero((self.keys[at] == keys) & (self.number[at] >= 0))
+        codes, tails = self.codes[left[hit]], self.codes[right[hit]]
+        row, col = np.nonzero(tails)
+        codes[row, col + n[hit][row]] = tails[row, col]
+        found = self.number[at[hit]]
+        joint[fits[hit]] = np.where((self.codes[found] == codes).all(1), found, -1)
+        return joint
+
+    def _fill_halves(self, pieces: np.ndarray) -> None:
+        """Halves of pieces and of their halves, as far as they are not known yet."""
+        stack = pieces[self.halves[0, pieces] == _NOT_YET].tolist()
+        known, ids = self.halves, self.vocabulary.ids
+        while stack:
+            piece = stack[-1]
+            name = self.vocabulary.pieces[piece]
+            halves = self.vocabulary.halves(name)
+            inner = [ids.get(h) for h in halves or ()]
+            later = [i for i in inner if i is not None and known[0, i] == _NOT_YET]
+            if later:
+                stack += later
+                continue
+            stack.pop()
+            self.odd[piece] = None in inner or self.odd[[i for i in inner if i is not None]].any()
+            self.odd[piece] |= len(self.vocabulary.merged_piece(name)) > 1
+            known[:, piece] = inner if inner and None not in inner else -1
+
+    def _neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Vocabulary.neighbours`` of many pairs, its merges undone for all of them together."""
+        result = np.ones(len(left), bool)
+        self._fill_halves(np.unique(np.concatenate([left[left >= 0], right])))
+        by_text = (left >= 0) & (self.blank[left] & self.blank[right] | self.odd[left] | self.odd[right])
+        for i in np.flatnonzero(by_text).tolist():
+            result[i] = self.vocabulary.neighbours(int(left[i]), int(right[i]))
+        rest = np.flatnonzero((left >= 0) & ~by_text)
+        left, right = left[rest], right[rest]
+        undone_left = undone_right = np.full(len(rest), np.nan)  # scores of the merges undone last, by side
+        while len(rest):
+            joint = self._joint(left, right)
+            score = np.where(joint >= 0, self.scores[joint], np.nan)
+            first = np.isnan(undone_left) & np.isnan(undone_right) & (joint >= 0)
+            across = first | (score > undone_left) | (score >= undone_right)
+            result[rest[across]] = False
+            no_left, no_right = self.halves[1, left] < 0, self.halves[0, right] < 0
+            go = np.flatnonzero(~across & ~(no_left & no_right))
+            rest, left, right, no_left, no_right = rest[go], left[go], right[go], no_left[go], no_right[go]
+            # the merge that came later has the worse score; of equal ones the right one did
+            on_left = no_right | ~no_left & (self.scores[left] < self.scores[right])
+            undone_left = np.where(on_left, self.scores[left], np.nan)
+            undone_right = np.where(on_left, np.nan, self.scores[right])
+            left, right = np.where(on_left, self.halves[1, left], left), np.where(on_left, right, self.halves[0, right])
+        return result
+
     def _may_meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pieces can be neighbours; tested once for each distinct pair."""
         if self.vocabulary.kind != BPE:
@@ -95,8 +176,12 @@ class Encoder:
             return self.verdicts[slots]
         result = self.verdicts[slots]
         fresh, where = np.unique(pairs[unknown], return_inverse=True)
-        verdicts = [self.vocabulary.neighbours(int(p // len(self.text)) - 2, int(p % len(self.text))) for p in fresh]
-        result[unknown] = np.array(verdicts, bool)[where]
+        left, right = fresh // len(self.text) - 2, fresh % len(self.text)
+        if len(fresh) >= MANY_PAIRS:
+            verdicts = self._neighbours(left, right)
+        else:
+            verdicts = np.array(list(map(self.vocabulary.neighbours, left.tolist(), right.tolist())), bool)
+        result[unknown] = verdicts[where]
         self.pairs[slots[unknown]] = pairs[unknown]
         self.verdicts[slots] = result
         # where several of these pairs share a slot, no verdict is kept
@@ -134,7 +219,7 @@ class Encoder:
                 # which words have a piece, or the beginning of one, from start to stop
                 power = np.uint64(pow(int(_BASE), stop - start, 1 << 64))
                 keys = prefixes[stop].take(row) - prefixes[start].take(row) * power + np.uint64(stop - start)
-                at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+                at = self._find(keys)
                 hit = self.keys[at] == keys
                 row, piece = row[hit], self.number[at[hit]]
                 if not len(row):
@@ -186,8 +271,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         split = [_WORDS.findall(self.vocabulary.prepared(t)) for t in texts]
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
+        if len(self.words) > MAX_WORDS:  # the older half goes, before this batch's words are looked up
+            for word in list(islice(self.words, len(self.words) - MAX_WORDS // 2)):
+                del self.words[word]
         fresh: dict[int, list[str]] = {}
         for word in set().union(*split).difference(self.words):
             fresh.setdefault(len(word), []).append(word)

@@ -81,6 +81,32 @@ def test_ids_of_random_texts(vocabulary, library):
     assert [encoder.decode(g) for g in got] == [library.decode(g.tolist()) for g in got] == texts
 
 
+def test_verdicts_of_many_pairs_equal_those_of_one(vocabulary):
+    """Random pairs, and pairs that are cuts of a piece, whose joint piece is in the vocabulary."""
+    encoder = pieces.Encoder(vocabulary)
+    rnd = np.random.default_rng(5)
+    ids = np.array(list(vocabulary.ids.values()))
+    pairs = list(zip(rnd.choice(ids, 20000).tolist(), rnd.choice(ids, 20000).tolist(), strict=True))
+    for name in rnd.choice(list(vocabulary.ids), 3000).tolist():
+        cuts = [(vocabulary.ids.get(name[:i]), vocabulary.ids.get(name[i:])) for i in range(1, len(name))]
+        pairs += [c for c in cuts if None not in c]
+    pairs += [(-1, pairs[0][1]), (-2, pairs[1][1])]
+    left, right = np.array(pairs, np.int64).T
+    got = encoder._neighbours(left, right)
+    assert got.tolist() == [vocabulary.neighbours(a, b) for a, b in pairs]
+    assert 0 < got.sum() < len(got)
+
+
+def test_words_of_the_older_half_are_dropped(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(pieces, "MAX_WORDS", 8)
+    encoder = pieces.Encoder(vocabulary)
+    for i in range(30):
+        texts = [f"w{i} w{i}x w{i - 1} the", "and the"]
+        assert [g.tolist() for g in encoder.encode(texts)] == library.encode(texts)
+        assert len(encoder.words) <= 8 + 6
+        assert f" w{i}" in encoder.words and (i % 2 == 0 or f" w{i - 1}" in encoder.words)
+
+
 def test_unigram_paths_are_best(vocabulary):
     """Without merges the path has the best sum of scores, here by brute force."""
     vocabulary = Vocabulary(vocabulary.content)
