@@ -1,9 +1,9 @@
 """Token ids as files: fixed-size blocks, transposed into byte or bit planes, zstandard.
 
 Writing: documents are dealt into ranges of doc_id (``repartitionByRange``), sorted
-within each range, and encoded by the tokenizers library (``word_codes``); each
-document's ids are followed by ``END_ID``. The ids of one range run into blocks of
-``BLOCK_IDS`` ids; a block is transposed into planes (the k-th byte, or the k-th bit,
+within each range, and encoded by the tokenizers library, a batch of texts together
+(``word_codes``); each document's ids are followed by ``END_ID``. The ids of one range
+run into blocks of ``BLOCK_IDS`` ids; a block is transposed into planes (the k-th byte, or the k-th bit,
 of every id side by side), and each plane is compressed with zstandard on its own, so
 that the high planes of small ids cost next to nothing. One row per block is the file
 format: part (range), block number, offset of its first id in the part, id count, the
@@ -31,11 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from billsift.llm.word_codes import word_codes
+from billsift.llm.word_codes import column_codes
 from billsift.session import new_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -48,6 +49,10 @@ BLOCKS = (
     "part int, block int, first long, n_ids int, planes array<binary>, "
     "doc_ids array<long>, doc_starts array<long>, doc_lengths array<long>"
 )
+BLOCKS_ARROW = pa.schema(
+    [("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int32()), ("planes", pa.list_(pa.binary()))]
+    + [(name, pa.list_(pa.int64())) for name in ("doc_ids", "doc_starts", "doc_lengths")]
+)
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -77,41 +82,37 @@ def from_planes(planes: list[bytes], n_ids: int) -> np.ndarray:
 
 
 def _packer(path: str, kind: str, block_ids: int):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = word_codes(path)
-        buffer: list[np.ndarray] = []
-        filled = block = first = 0
-        part = None
-        starts: tuple[list, list, list] = ([], [], [])
-        out: list[dict] = []
-
-        def close(n: int):
-            nonlocal buffer, filled, block, first, starts
-            ids = np.concatenate(buffer) if buffer else np.zeros(0, np.uint32)
-            head, rest = ids[:n], ids[n:]
-            out.append(dict(part=part, block=block, first=first, n_ids=len(head), planes=to_planes(head, kind),
-                            doc_ids=starts[0], doc_starts=starts[1], doc_lengths=starts[2]))
-            block, first = block + 1, first + len(head)
-            buffer, filled, starts = ([rest] if len(rest) else []), len(rest), ([], [], [])
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = column_codes(path)
+        part, block = None, 0
+        ids = np.zeros(0, np.uint32)  # not yet in a block, as are the documents that start in them
+        names, starts, lengths = pa.array([], pa.int64()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def rows(last: bool) -> Iterator[dict]:
+            nonlocal block, ids, names, starts, lengths
+            for lo in range(0, len(ids) if last else len(ids) - block_ids + 1, block_ids):
+                first = block * block_ids
+                head, n = ids[lo : lo + block_ids], int(np.searchsorted(starts, first + block_ids))
+                yield dict(part=part, block=block, first=first, n_ids=len(head), planes=to_planes(head, kind),
+                           doc_ids=names[:n].to_pylist(), doc_starts=starts[:n], doc_lengths=lengths[:n])
+                block, names, starts, lengths = block + 1, names[n:], starts[n:], lengths[n:]
+            ids = ids[len(ids) if last else len(ids) // block_ids * block_ids :]
 
         offset = 0
-        for frame in batches:
-            for doc_id, text, part in zip(frame["doc_id"], frame["text"], frame["part"], strict=True):
-                ids = np.append(codes.encode(text if isinstance(text, str) else None), np.uint32(END_ID))
-                starts[0].append(None if pd.isna(doc_id) else int(doc_id))
-                starts[1].append(offset)
-                starts[2].append(len(ids))
-                offset += len(ids)
-                buffer.append(ids)
-                filled += len(ids)
-                while filled >= block_ids:
-                    close(block_ids)
-            if out:
-                yield pd.DataFrame(out)
-                out.clear()
-        if filled or starts[0]:
-            close(filled)
-            yield pd.DataFrame(out)
+        for batch in batches:
+            if not len(batch):
+                continue
+            part = batch.column("part")[0].as_py()
+            new, n_ids = codes.encode(batch.column("text"))
+            ids = np.concatenate([ids, np.insert(new, np.cumsum(n_ids), np.uint32(END_ID))])
+            ends = offset + np.cumsum(n_ids + 1)
+            names = pa.concat_arrays([names, batch.column("doc_id")])
+            starts, lengths = np.append(starts, ends - n_ids - 1), np.append(lengths, n_ids + 1)
+            offset = int(ends[-1])
+            if len(ids) >= block_ids:
+                yield pa.RecordBatch.from_pylist(list(rows(False)), schema=BLOCKS_ARROW)
+        if len(ids):
+            yield pa.RecordBatch.from_pylist(list(rows(True)), schema=BLOCKS_ARROW)
 
     return pack
 
@@ -129,7 +130,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
         .withColumn("part", F.spark_partition_id())
     )
-    ranged.mapInPandas(_packer(tokenizer, kind, block_ids), BLOCKS).write.parquet(path)
+    ranged.mapInArrow(_packer(tokenizer, kind, block_ids), BLOCKS).write.parquet(path)
     return path
 
 
